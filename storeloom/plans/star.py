@@ -42,31 +42,36 @@ def dim_calendar(calendar: DataFrame, run_time: datetime | Column | None = None)
 
 
 def fact_transactions(transactions: DataFrame, rules: Rules = DEFAULT_RULES,
-                      run_time: datetime | Column | None = None) -> DataFrame:
+                      run_time: datetime | Column | None = None,
+                      columns: list[str] | None = None) -> DataFrame:
     """One row per order line. The total keeps its sign; net and fee are sizes.
 
-    Built in one projection, so a consumer that reads few columns computes few.
+    ``columns`` names the fact columns to build, all by default; only their
+    inputs need to be present.
     """
-    amount = F.col("_amount")
-    quantity = F.col("QUANTITYORDERED")
-    lines = transactions.withColumn("_amount", money.money(F.col("TOTAL_AMOUNT")))
-    return lines.select(
-        F.col("ORDERNUMBER").cast("long").alias("order_number"),
-        text.full_name(F.col("CONTACTFIRSTNAME"), F.col("CONTACTLASTNAME")).alias("customer_name"),
-        F.col("ADDRESSLINE1").alias("address"),
-        F.col("PHONE").alias("phone_number"),
-        F.col("PRODUCTCODE").alias("product_code"),
-        quantity.alias("quantity"),
-        money.unit_price(amount, quantity).alias("unit_price"),
-        amount.alias("total_amount"),
-        F.col("DEALSIZE").alias("deal_size"),
-        F.col("TERRITORY").alias("territory"),
-        dates.order_date(F.col("ORDERDATE")).alias("order_date"),
-        F.lit(STATUS).alias("status"),
-        F.lit(PRODUCT_LINE).alias("product_line"),
-        run_clock(run_time).alias("created_date"),
-        money.transaction_type(amount).alias("transaction_type"),
-        money.restocking_fee(amount, rules.restocking_fee_rate).alias("restocking_fee"),
-        money.net_amount(amount, rules.restocking_fee_rate).alias("net_amount"),
-        money.is_large_order(amount, rules.large_order).alias("is_large_order"),
-    )
+    amount, quantity, fee_rate = F.col("_amount"), F.col("QUANTITYORDERED"), rules.restocking_fee_rate
+    build = {
+        "order_number": lambda: F.col("ORDERNUMBER").cast("long"),
+        "customer_name": lambda: text.full_name(F.col("CONTACTFIRSTNAME"), F.col("CONTACTLASTNAME")),
+        "address": lambda: F.col("ADDRESSLINE1"),
+        "phone_number": lambda: F.col("PHONE"),
+        "product_code": lambda: F.col("PRODUCTCODE"),
+        "quantity": lambda: quantity,
+        "unit_price": lambda: money.unit_price(amount, quantity),
+        "total_amount": lambda: amount,
+        "deal_size": lambda: F.col("DEALSIZE"),
+        "territory": lambda: F.col("TERRITORY"),
+        "order_date": lambda: dates.order_date(F.col("ORDERDATE")),
+        "status": lambda: F.lit(STATUS),
+        "product_line": lambda: F.lit(PRODUCT_LINE),
+        "created_date": lambda: run_clock(run_time),
+        "transaction_type": lambda: money.transaction_type(amount),
+        "restocking_fee": lambda: money.restocking_fee(amount, fee_rate),
+        "net_amount": lambda: money.net_amount(amount, fee_rate),
+        "is_large_order": lambda: money.is_large_order(amount, rules.large_order),
+    }
+    wanted = list(build) if columns is None else columns
+    lines = transactions
+    if "TOTAL_AMOUNT" in transactions.columns:
+        lines = transactions.withColumn("_amount", money.money(F.col("TOTAL_AMOUNT")))
+    return lines.select(*[build[name]().alias(name) for name in wanted])

@@ -81,7 +81,7 @@ def files_by_header(spark: SparkSession, path: str, glob: str = "*.csv") -> dict
         lines = list(pool.map(lambda p: _first_line(spark, p), paths))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for file, line in zip(paths, lines):
-        header = tuple(name.strip() for name in next(csv.reader([line.lstrip("﻿")]), []))
+        header = tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]), []))
         if header:
             groups[header].append(file)
     return dict(groups)

@@ -5,9 +5,9 @@ repeat a line. A look-up that serves none of the requested columns can
 therefore be left out with the same result, and is: callers name the columns
 they need, as they would in a projection on a flat transactions table.
 
-Join order: the small look-ups are attached to orders first, and lines are
-joined to the finished orders, so the largest table moves once for the order
-look-up and once for the part look-up at most.
+Join order: the buyer is attached to orders first, and lines are joined to the
+finished orders, so the largest table moves once for the order look-up and once
+for the part look-up at most.
 """
 
 from __future__ import annotations
@@ -28,8 +28,23 @@ TRANSACTION_COLUMNS = tuple(dict.fromkeys(
     LINE_COLUMNS + ORDER_COLUMNS + PART_COLUMNS + CUSTOMER_COLUMNS + NATION_COLUMNS + REGION_COLUMNS))
 
 
+STAR_TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+              " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+                " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING,"
+                " l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan with the declared schema, so no file is opened to plan a query."""
+    return spark.read.schema(STAR_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -83,36 +98,30 @@ def _orders(spark: SparkSession, sf_dir: str, need: set[str]) -> DataFrame:
         .alias("ORDERDATE"),
         F.quarter(day).alias("QTR_ID"), F.month(day).alias("MONTH_ID"), F.year(day).alias("YEAR_ID"),
     )
-    if need & set(CUSTOMER_COLUMNS + NATION_COLUMNS + REGION_COLUMNS):
-        orders = orders.join(_buyers(spark, sf_dir, need), "c_custkey", "left")
-    return orders.drop("c_custkey")
+    if not need & set(CUSTOMER_COLUMNS + NATION_COLUMNS + REGION_COLUMNS):
+        return orders.drop("c_custkey")
+    orders = orders.join(_buyers(spark, sf_dir), "c_custkey", "left")
+    if need & set(NATION_COLUMNS + REGION_COLUMNS):
+        nation = table(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("COUNTRY"), "n_regionkey")
+        orders = orders.join(nation, "c_nationkey", "left").withColumns({
+            "CUSTOMERNAME": F.concat("c_mktsegment", F.lit(" "), "COUNTRY"),
+            "ADDRESSLINE1": F.concat(F.col("c_custkey").cast("string"), F.lit(" "), "COUNTRY", F.lit(" St")),
+        })
+    if need & set(REGION_COLUMNS):
+        region = table(spark, sf_dir, "region").select(
+            F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("TERRITORY"))
+        orders = orders.join(region, "n_regionkey", "left")
+    return orders.select("ORDERNUMBER", *[c for c in TRANSACTION_COLUMNS if c in need - set(LINE_COLUMNS + PART_COLUMNS)])
 
 
-def _buyers(spark: SparkSession, sf_dir: str, need: set[str]) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    buyers = customer.select(
+def _buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment",
         F.concat(F.lit("+"), _padded(F.col("c_custkey"), 9)).alias("PHONE"),
         F.expr("substring(c_name, 10)").alias("CONTACTLASTNAME"),
         F.substring("c_name", 1, 8).alias("CONTACTFIRSTNAME"),
     )
-    if need & set(NATION_COLUMNS + REGION_COLUMNS):
-        places = _places(spark, sf_dir, with_region=bool(need & set(REGION_COLUMNS)))
-        buyers = buyers.join(places, "c_nationkey", "left").withColumns({
-            "CUSTOMERNAME": F.concat("c_mktsegment", F.lit(" "), "COUNTRY"),
-            "ADDRESSLINE1": F.concat(F.col("c_custkey").cast("string"), F.lit(" "), "COUNTRY", F.lit(" St")),
-        })
-    return buyers.drop("c_nationkey", "c_mktsegment")
-
-
-def _places(spark: SparkSession, sf_dir: str, with_region: bool) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("COUNTRY"), "n_regionkey")
-    if not with_region:
-        return nation.drop("n_regionkey")
-    region = table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("TERRITORY"))
-    return nation.join(region, "n_regionkey", "left").drop("n_regionkey")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,8 +48,7 @@ def fact(spark: SparkSession, sf_dir: str, columns: Iterable[str], rules: Rules
     names = list(columns)
     inputs = list(dict.fromkeys(i for name in names for i in FACT_INPUTS[name])) or ["ORDERNUMBER"]
     lines = views.transactions(spark, sf_dir, inputs)
-    absent = {i: F.lit(None).cast("string") for need in FACT_INPUTS.values() for i in need if i not in inputs}
-    return star.fact_transactions(lines.withColumns(absent), rules, RUN_TIME).select(*names)
+    return star.fact_transactions(lines, rules, RUN_TIME, names)
 
 
 def doubles(df: DataFrame) -> DataFrame:
