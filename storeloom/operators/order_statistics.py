@@ -100,21 +100,20 @@ def rank_within(df: DataFrame, group: str, column: str, name: str) -> DataFrame:
     2**22 rows. ``df`` is read twice; give it a staged frame. NULL ranks last.
     """
     units, _ = _units(df, column)
-    data = df.withColumn("u", F.coalesce(units, F.lit(-(1 << 63))))
-    high, middle, low = _digits(F.col("u"))
-    values = (data.groupBy(F.col(group).alias("g"), "u").agg(F.count(F.lit(1)).alias("n"))
+    # As a struct the group is never NULL itself, so plain equality also pairs NULL groups.
+    data = df.withColumns({"_group": F.struct(F.col(group)), "_units": F.coalesce(units, F.lit(-(1 << 63)))})
+    high, middle, low = _digits(F.col("_units"))
+    values = (data.groupBy("_group", "_units").agg(F.count(F.lit(1)).alias("n"))
               .withColumns({"d0": high, "d1": middle, "d2": low}))
-    mid = values.groupBy("g", "d0", "d1").agg(F.sum("n").alias("n"))
-    top = mid.groupBy("g", "d0").agg(F.sum("n").alias("n"))
+    mid = values.groupBy("_group", "d0", "d1").agg(F.sum("n").alias("n"))
+    top = mid.groupBy("_group", "d0").agg(F.sum("n").alias("n"))
 
-    top = top.select("g", "d0", _greater("d0", ["g"]).alias("above"))
-    mid = mid.withColumn("inner", _greater("d1", ["g", "d0"]))
-    mid = _join_on(mid, top, ["g", "d0"]).select("g", "d0", "d1", (F.col("above") + F.col("inner")).alias("above"))
-    values = values.withColumn("inner", _greater("d2", ["g", "d0", "d1"]))
-    values = _join_on(values, mid, ["g", "d0", "d1"]).select(
-        "g", "u", (F.col("above") + F.col("inner") + 1).alias(name))
-    ranked = _join_on(data.withColumn("g", F.col(group)), values, ["g", "u"])
-    return ranked.select(*df.columns, name)
+    top = top.select("_group", "d0", _greater("d0", ["_group"]).alias("above"))
+    mid = mid.withColumn("inner", _greater("d1", ["_group", "d0"])).join(top, ["_group", "d0"])
+    mid = mid.select("_group", "d0", "d1", (F.col("above") + F.col("inner")).alias("above"))
+    values = values.withColumn("inner", _greater("d2", ["_group", "d0", "d1"])).join(mid, ["_group", "d0", "d1"])
+    ranks = values.select("_group", "_units", (F.col("above") + F.col("inner") + 1).alias(name))
+    return data.join(ranks, ["_group", "_units"]).select(*df.columns, name)
 
 
 def _greater(digit: str, keys: list[str]) -> Column:
@@ -123,13 +122,3 @@ def _greater(digit: str, keys: list[str]) -> Column:
              .rowsBetween(Window.unboundedPreceding, -1))
     return F.coalesce(F.sum("n").over(frame), F.lit(0))
 
-
-def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on null-safe keys, keeping the left key columns."""
-    renamed = right.select(*[F.col(k).alias(f"_{k}") for k in keys],
-                           *[c for c in right.columns if c not in keys])
-    match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    condition = match[0]
-    for part in match[1:]:
-        condition = condition & part
-    return left.join(renamed, condition).drop(*[f"_{k}" for k in keys])
