@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storeloom.functions.text import name_key
 from storeloom.operators.combine import latest_per_key
+from storeloom.scratch import stage
 
 
 def with_fiscal_day(df: DataFrame, calendar: DataFrame, date: str = "order_date") -> DataFrame:
@@ -24,21 +25,25 @@ def unique_names(dim_customer: DataFrame, name: str = "full_name") -> DataFrame:
     return latest_per_key(keyed, ["name_key"], [F.asc_nulls_last(name), *order])
 
 
-def with_contacts(few: DataFrame, dim_customer: DataFrame, columns: list[str],
-                  bounded: bool = False) -> DataFrame:
-    """Left join of customers to their contact columns by normalised name.
+def with_contacts(customers: DataFrame, dim_customer: DataFrame, columns: list[str]) -> DataFrame:
+    """Left join of customers to their contact columns by normalised name."""
+    contacts = unique_names(dim_customer.select("full_name", *columns)).drop("full_name")
+    return customers.withColumn("name_key", name_key(F.col("customer_name"))).join(
+        contacts, "name_key", "left").drop("name_key")
 
-    ``bounded`` states that ``few`` is a top-k result of fixed size. The
-    dimension is then filtered by its names first, with no shuffle of the
-    dimension itself.
+
+def with_contacts_of_few(few: DataFrame, dim_customer: DataFrame, columns: list[str]) -> DataFrame:
+    """``with_contacts`` for a top-k result: the dimension is first cut down to its names.
+
+    The k rows are staged, since both the cut and the join read them, and the
+    dimension is never shuffled. Their fixed number is the bound of the broadcast.
     """
-    contacts = dim_customer.select("full_name", *columns)
-    keyed = few.withColumn("name_key", name_key(F.col("customer_name")))
-    if bounded:
-        names = F.broadcast(keyed.select("name_key").distinct())
-        contacts = (contacts.withColumn("name_key", name_key(F.col("full_name")))
-                    .join(names, "name_key", "left_semi").drop("name_key"))
-    return keyed.join(unique_names(contacts).drop("full_name"), "name_key", "left").drop("name_key")
+    staged = stage(few, "few_customers")
+    names = F.broadcast(staged.select(name_key(F.col("customer_name")).alias("name_key")).distinct())
+    contacts = (dim_customer.select("full_name", *columns)
+                .withColumn("name_key", name_key(F.col("full_name")))
+                .join(names, "name_key", "left_semi").drop("name_key"))
+    return with_contacts(staged, contacts, columns)
 
 
 def key_counts(df: DataFrame, key: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storeloom.config import DEFAULT_RULES, Rules
 from storeloom.functions.money import rate
-from storeloom.operators.joins import with_contacts
+from storeloom.operators.joins import with_contacts_of_few
 from storeloom.operators.order_statistics import percentile_struct, tier
 from storeloom.operators.periods import sales_measures, sales_only
 from storeloom.operators.ranking import top_overall
@@ -64,7 +64,7 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> Data
         *sales_measures(total="total_spent"))
     order = [F.desc("total_spent"), F.asc("customer_name"), F.asc("phone_number"), F.asc("address")]
     best = top_overall(spend, order, k)
-    return with_contacts(best, dim_customer, CONTACT_COLUMNS, bounded=True)
+    return with_contacts_of_few(best, dim_customer, CONTACT_COLUMNS)
 
 
 def top_customers_with_segment(fact: DataFrame, dim_customer: DataFrame, k: int = 10,
@@ -72,7 +72,7 @@ def top_customers_with_segment(fact: DataFrame, dim_customer: DataFrame, k: int
     """The ``k`` best customers by name with e-mail and percentile segment."""
     segments = percentile_customer_segments(fact, rules)
     best = top_overall(segments, [F.desc("total_spent"), F.asc("customer_name")], k)
-    return with_contacts(best, dim_customer, ["email"], bounded=True).select(
+    return with_contacts_of_few(best, dim_customer, ["email"]).select(
         "customer_name", "email", "total_spent", F.col("total_orders").alias("order_count"), "customer_segment")
 
 

@@ -17,7 +17,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the application's folder in the shared space."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
