@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from storeloom.functions.text import mentions
-from storeloom.schemas import MONEY
+from storeloom.schemas import MONEY, NET_MONEY
 
 SALE = "SALE"
 REFUND = "REFUND"
@@ -19,6 +19,11 @@ def money(amount: Column) -> Column:
     return amount.cast(MONEY)
 
 
+def total(amount: Column) -> Column:
+    """Exact sum of fees or net amounts, also of a fact table that stores them as doubles."""
+    return F.sum(amount.cast(NET_MONEY))
+
+
 def rate(value: Decimal | float | str) -> Column:
     return F.lit(Decimal(str(value)))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.functions.dates import periods
-from storeloom.functions.money import REFUND, SALE, average
+from storeloom.functions.money import REFUND, SALE, average, total
 
 
 def sales_only(fact: DataFrame) -> DataFrame:
@@ -17,17 +17,17 @@ def refunds_only(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("transaction_type") == REFUND)
 
 
-def sales_measures(total: str = "total_sales", count: str = "total_orders",
+def sales_measures(amount: str = "total_sales", count: str = "total_orders",
                    mean: str = "avg_order_value") -> list[Column]:
     """Total, number of lines and mean per line."""
-    amount = F.sum("net_amount")
-    return [amount.alias(total), F.count("order_number").alias(count),
-            average(amount, F.count("net_amount")).alias(mean)]
+    net = total(F.col("net_amount"))
+    return [net.alias(amount), F.count("order_number").alias(count),
+            average(net, F.count("net_amount")).alias(mean)]
 
 
 def refund_measures() -> list[Column]:
-    return [F.sum("net_amount").alias("total_refunds"),
-            F.sum("restocking_fee").alias("total_restocking_fees"),
+    return [total(F.col("net_amount")).alias("total_refunds"),
+            total(F.col("restocking_fee")).alias("total_restocking_fees"),
             F.count("order_number").alias("total_refund_orders")]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.config import DEFAULT_RULES, Rules
-from storeloom.functions.money import average, percent_of
+from storeloom.functions.money import average, percent_of, total
 from storeloom.functions.text import product_family
 from storeloom.operators.order_statistics import rank_within
 from storeloom.operators.periods import sales_only
@@ -18,7 +18,7 @@ def territory_product_sales(fact: DataFrame) -> DataFrame:
     """Sales per territory and product. The family depends on the product alone,
     so it is attached after the aggregate instead of being a group key."""
     totals = sales_only(fact).groupBy("territory", "product_code").agg(
-        F.sum("net_amount").alias("total_sales"), F.count("order_number").alias("total_orders"))
+        total(F.col("net_amount")).alias("total_sales"), F.count("order_number").alias("total_orders"))
     return totals.withColumn("product_family", product_family(F.col("product_code")))
 
 
@@ -59,7 +59,7 @@ def _with_best(products: DataFrame, value: str, best: str, gap: str) -> DataFram
 
 def product_performance(fact: DataFrame) -> DataFrame:
     """Per territory and product: revenue, quantity, orders, price, rank and gap to the best."""
-    revenue, quantity = F.sum("net_amount"), F.sum("quantity")
+    revenue, quantity = total(F.col("net_amount")), F.sum("quantity")
     totals = sales_only(fact).groupBy("territory", "product_code", "product_line").agg(
         revenue.alias("total_revenue"), quantity.alias("total_quantity"),
         F.count_distinct("order_number").alias("order_count"),

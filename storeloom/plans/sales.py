@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storeloom.config import DEFAULT_RULES, Rules
 from storeloom.functions.dates import day_text, periods
-from storeloom.functions.money import REFUND, SALE, average, refund_split
+from storeloom.functions.money import REFUND, SALE, average, refund_split, total
 from storeloom.functions.text import product_family
 from storeloom.operators.joins import with_fiscal_day
 from storeloom.operators.order_statistics import percentile_struct, tier
@@ -67,11 +67,12 @@ def family_quantities(fact: DataFrame) -> DataFrame:
 
 def daily_insights(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Per day: sales, lines, mean, distinct customers and products, and a category."""
-    days = sales_only(fact).groupBy(day_text(F.col("order_date")).alias("order_date_str")).agg(
+    days = sales_only(fact).groupBy("order_date").agg(
         *sales_measures("daily_sales", "daily_orders", "daily_avg_order"),
         F.count_distinct("customer_name").alias("unique_customers"),
         F.count_distinct("product_code").alias("unique_products"))
-    staged = stage(days, "daily_metrics")
+    staged = stage(days.select(day_text(F.col("order_date")).alias("order_date_str"), *days.columns[1:]),
+                   "daily_metrics")
     cuts = percentile_struct(staged, "daily_sales", rules.lower_percentile, rules.upper_percentile)
     return staged.withColumn("sales_category", tier(F.col("daily_sales"), cuts, DAY_LABELS))
 
@@ -83,13 +84,13 @@ def fiscal_aggregations(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     per day instead of every line.
     """
     days = sales_only(fact).groupBy("order_date").agg(
-        F.sum("net_amount").alias("amount"), F.count("order_number").alias("lines"),
+        total(F.col("net_amount")).alias("amount"), F.count("order_number").alias("lines"),
         F.count("net_amount").alias("amounts"))
-    total = F.sum("amount")
+    amount = F.sum("amount")
     return (with_fiscal_day(days, calendar.select("CALENDAR_DATE", *FISCAL_KEYS))
             .groupBy(*FISCAL_KEYS)
-            .agg(total.alias("fiscal_sales"), F.sum("lines").alias("fiscal_orders"),
-                 average(total, F.sum("amounts")).alias("fiscal_avg_order"))
+            .agg(amount.alias("fiscal_sales"), F.sum("lines").alias("fiscal_orders"),
+                 average(amount, F.sum("amounts")).alias("fiscal_avg_order"))
             .orderBy("FISCAL_YEAR", "FISCAL_QUARTER", "FISCAL_MONTH_NAME"))
 
 
@@ -98,7 +99,8 @@ def transaction_type_counts(fact: DataFrame) -> DataFrame:
 
 
 def territory_revenue(fact: DataFrame) -> DataFrame:
-    return sales_only(fact).groupBy("territory").agg(F.sum("net_amount").alias("total_revenue")).orderBy(
+    return sales_only(fact).groupBy("territory").agg(
+        total(F.col("net_amount")).alias("total_revenue")).orderBy(
         F.desc("total_revenue"), "territory")
 
 
@@ -109,11 +111,11 @@ def monthly_summary(fact: DataFrame) -> DataFrame:
     keys = periods(F.col("order_date"), ["year", "month"])
     months = fact.groupBy(keys[0].alias("year_number"), keys[1].alias("month_number"))
     return months.agg(
-        F.sum(F.when(is_sale, F.col("net_amount"))).alias("total_sales"),
-        F.sum(F.when(is_refund, F.col("net_amount"))).alias("total_refunds"),
+        total(F.when(is_sale, F.col("net_amount"))).alias("total_sales"),
+        total(F.when(is_refund, F.col("net_amount"))).alias("total_refunds"),
         F.sum(F.when(is_sale, F.col("quantity"))).alias("items_sold"),
         F.sum(F.when(is_refund, F.col("quantity"))).alias("items_refunded"),
-        F.sum("restocking_fee").alias("total_restocking_fees"),
+        total(F.col("restocking_fee")).alias("total_restocking_fees"),
         F.count_distinct("customer_name").alias("unique_customers"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 # Type of one line amount. With a two-digit fee rate both the fee (17,4) and
 # the net amount (18,4) stay within 18 digits, i.e. long-backed in Tungsten.
 MONEY = T.DecimalType(14, 2)
+NET_MONEY = T.DecimalType(18, 4)
 
 _TEXT, _INT, _LONG, _DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
 _DOUBLE, _FLAG, _TIME = T.DoubleType(), T.BooleanType(), T.TimestampType()

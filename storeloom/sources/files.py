@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -129,7 +130,8 @@ def read_drifting(spark: SparkSession, path: str, mapping: dict[str, str],
     """All files of one entity with headers brought together: one scan per header."""
     scans = []
     for header, paths in sorted(files_by_header(spark, path).items()):
-        scan = read_csv(spark, paths, schema=text_schema(list(header)))
+        literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", path) for path in paths]  # names are not patterns
+        scan = read_csv(spark, literal, schema=text_schema(list(header)))
         scans.append(rename_drifted(with_lineage(scan, run_time), mapping))
     if not scans:
         raise FileNotFoundError(f"no CSV file with a header below {path}")

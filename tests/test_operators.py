@@ -127,6 +127,14 @@ def test_percentile_segments_of_tiny_groups(spark, count):
     assert out == expected[count]
 
 
+def test_fact_with_double_amounts_gives_the_same_tables(spark, rows):
+    df = fact(spark, [line(name=f"c{i % 5}", code=f"S1_{i % 3}", amount=f"{i}.{abs(i):02d}") for i in range(-20, 60)])
+    loose = df.withColumns({c: F.col(c).cast("double") for c in ("total_amount", "net_amount", "restocking_fee")})
+    for table in (sales.sales_analytics, sales.refunds_analytics, sales.monthly_summary, sales.daily_insights,
+                  products.regional_rankings, products.product_performance, customers.percentile_customer_segments):
+        assert rows(table(df)) == rows(table(loose))
+
+
 def test_segment_threshold_is_inclusive(spark):
     df = fact(spark, [line(name="a", amount="10000"), line(name="b", amount="9999.99")])
     out = {r["customer_name"]: r["customer_segment"] for r in customers.customer_segments(df).collect()}

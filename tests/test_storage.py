@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.readwriter import DataFrameWriter
 
 from storeloom import schemas, scratch
 from storeloom.operators import quality
@@ -59,6 +60,13 @@ def test_customers_are_deduplicated_across_files(spark, landing):
     assert kept["source_file"].endswith("ca.csv")  # first file name wins a tie
 
 
+def test_file_names_are_not_patterns(spark, landing):
+    from pathlib import Path
+    (Path(landing) / "us [1] {a}.csv").write_text(HEADERS["us"] + "\nGil,Orr,Orr,7 St,Reno,,NV,00126,1,2,gil@b.co,w\n")
+    out = files.read_drifting(spark, landing, files.CUSTOMER_HEADERS, RUN)
+    assert sorted(r["first_name"] for r in out.collect()) == ["ANN", "Ann", "Bob", "Cid", "Dee", "Eve", "Gil"]
+
+
 def test_missing_landing_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(Exception):
@@ -127,6 +135,18 @@ def test_jdbc_options_carry_typed_columns():
     assert (options["truncate"], options["batchsize"], options["numPartitions"]) == ("true", "500", "8")
 
 
+def test_load_hands_conforming_rows_to_the_writer(spark, monkeypatch):
+    seen = {}
+
+    def save(writer, *args, **kwargs):
+        seen["rows"] = writer._df.count()
+
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    df = spark.createDataFrame([("ok", Decimal(1)), ("x" * 201, Decimal(2))], "customer_name string, total_spent decimal(9,2)")
+    rejects = warehouse.load_dimensions({"customer_segments": df}, "jdbc:x", schemas.WAREHOUSE, {"user": "u"})
+    assert seen["rows"] == 1 and rejects["customer_segments"].count() == 1
+
+
 def test_column_types_parse(spark):
     for target in schemas.WAREHOUSE.values():
         assert T.StructType.fromDDL(warehouse.column_types(target)) == target
