@@ -14,17 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folder chosen for a local session that names none, by application.
+_local_roots: dict[str, str] = {}
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path below the application's folder in the shared space."""
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder the session names; a local session may leave it unset and gets one of its own."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="storeloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/storeloom-{app}/{label}-{uuid.uuid4().hex}"
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="storeloom-")
+    return _local_roots[app]
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh, unused path below the application's folder in the shared space."""
+    return f"{scratch_root(spark)}/storeloom-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

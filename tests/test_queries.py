@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
@@ -23,13 +24,13 @@ def canonical(rows, order):
 
 
 def test_every_query_has_a_twin():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    got = queries()[name](spark, DATA)
-    answer = duck.execute(oracle_sql()[name])
+    got = QUERIES[name](spark, DATA)
+    answer = duck.execute(ORACLES[name])
     columns = [c[0] for c in answer.description]
     assert sorted(got.columns) == sorted(columns)
     kinds = dict(got.dtypes)
@@ -43,13 +44,13 @@ def test_entry(spark):
     assert entry(spark).count() == 10
 
 
-LAZY = [n for n in sorted(queries()) if n.split("_")[0] not in ("src", "snk", "ing", "srcf")
+LAZY = [n for n in sorted(QUERIES) if n.split("_")[0] not in ("src", "snk", "ing", "srcf")
         and not n.startswith(("doc_10", "agg_10"))]
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_plan_has_no_python_and_no_cross_join(spark, name):
-    plan = queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit"):
         assert word not in plan
 
@@ -60,11 +61,11 @@ def test_plan_has_no_python_and_no_cross_join(spark, name):
     ("agg_2_sum", {"l_extendedprice", "l_returnflag"}),
 ])
 def test_scans_read_only_what_is_used(spark, name, columns):
-    plan = queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     read = {c.split(":")[0] for part in plan.split("ReadSchema: struct<")[1:] for c in part.split(">")[0].split(",")}
     assert read == columns
 
 
 def test_refund_flag_filter_reaches_the_scan(spark):
-    plan = queries()["src_7_table_scan"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["src_7_table_scan"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,R)" in plan
