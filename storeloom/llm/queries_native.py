@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeloom.llm import decontaminate
+from storeloom.llm import decontaminate, line_dedup
 from storeloom.llm.registry import query, table
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,3 +42,9 @@ FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("n_near_items", "text_hash")
+
+
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_documents(documents).select("row.doc_id", "row.text", "n_lines", "n_removed")
