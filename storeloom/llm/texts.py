@@ -27,7 +27,8 @@ def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[tuple[pa.
 
 
 def map_texts(documents: DataFrame, text: Column, added: T.StructType,
-              function: Callable[[Iterator[list[bytes | None]]], Iterator[list[list]]]) -> DataFrame:
+              function: Callable[[Iterator[list[bytes | None]]], Iterator[list[list]]],
+              slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """All rows with their columns in struct ``row`` and the ``added`` columns.
 
     ``function`` gets the texts of a task slice by slice (UTF-8, null as None) and yields, for each slice,
@@ -45,7 +46,7 @@ def map_texts(documents: DataFrame, text: Column, added: T.StructType,
 
         def texts() -> Iterator[list[bytes | None]]:
             for batch in batches:
-                for part, values in slices(batch):
+                for part, values in slices(batch, slice_bytes):
                     rows.append(part.column("row"))
                     yield values
 
