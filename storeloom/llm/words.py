@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed by the output contracts: what separates words. Letters A-Z are lower-cased first, no others.
@@ -31,6 +31,12 @@ def split_words(text: Column, separator: str = NOT_ALPHANUMERIC) -> Column:
     return F.array_remove(parts, "")
 
 
+def with_words(frame: DataFrame, text: str, name: str = "words") -> DataFrame:
+    """Adds the words of a text column. The one-element generator keeps the optimizer from copying the costly expression
+    into every place that uses the words."""
+    return frame.select("*", F.explode(F.array(split_words(F.col(text)))).alias(name))
+
+
 def blank_words(text: bytes | None) -> list[bytes]:
     """Words between blanks, as split_words(text, BLANKS): bytes methods know the same blanks and letters."""
     return text.lower().split() if text else []
