@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storeloom.functions.text import mentions
 from storeloom.schemas import MONEY, NET_MONEY
@@ -19,9 +20,16 @@ def money(amount: Column) -> Column:
     return amount.cast(MONEY)
 
 
-def total(amount: Column) -> Column:
-    """Exact sum of fees or net amounts, also of a fact table that stores them as doubles."""
-    return F.sum(amount.cast(NET_MONEY))
+def total(fact: DataFrame, column: str, only: Column | None = None) -> Column:
+    """Exact sum of fees or net amounts of the rows that ``only`` selects.
+
+    A decimal is summed at its own scale, which follows from the fee rate. A fact
+    table that stores doubles is read to four places.
+    """
+    value = F.col(column)
+    if not isinstance(fact.schema[column].dataType, T.DecimalType):
+        value = value.cast(NET_MONEY)
+    return F.sum(value if only is None else F.when(only, value))
 
 
 def rate(value: Decimal | float | str) -> Column:

@@ -14,9 +14,15 @@ def masked_email(email: Column) -> Column:
 
 
 def masked_phone(phone: Column) -> Column:
-    """Every digit but the last four is replaced."""
-    return F.concat(F.regexp_replace(F.substring(phone, F.lit(1), F.greatest(F.length(phone) - 4, F.lit(0))), "[0-9]", "*"),
+    """Every digit but those in the last four characters is replaced; all of them in a short number.
+
+    Text without a digit is masked whole, so the result never equals the input.
+    """
+    digits = F.length(F.regexp_replace(phone, "[^0-9]", ""))
+    long = F.concat(F.regexp_replace(F.substring(phone, F.lit(1), F.greatest(F.length(phone) - 4, F.lit(0))), "[0-9]", "*"),
                     F.right(phone, F.lit(4)))
+    return (F.when(digits == 0, F.lit("***")).when(digits <= 4, F.regexp_replace(phone, "[0-9]", "*"))
+            .otherwise(long))
 
 
 def masked_text(text: Column) -> Column:

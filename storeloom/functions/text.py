@@ -62,12 +62,12 @@ def register_sql_functions(spark: SparkSession) -> None:
     """)
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION calculate_restocking_fee(
-            amount DECIMAL(14,2), status STRING, fee_rate DECIMAL(6,4) DEFAULT 0.1) RETURNS DOUBLE
+            amount DECIMAL(18,4), status STRING, fee_rate DECIMAL(12,10) DEFAULT 0.1) RETURNS DOUBLE
         RETURN CASE WHEN contains(lower(status), 'refund') THEN CAST(amount * fee_rate AS DOUBLE) ELSE 0D END
     """)
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION calculate_refund_with_fee(
-            original_amount DECIMAL(14,2), is_refund BOOLEAN)
+            original_amount DECIMAL(18,4), is_refund BOOLEAN)
         RETURNS STRUCT<final_amount: DOUBLE, restocking_fee: DOUBLE>
         RETURN CASE WHEN is_refund
             THEN named_struct('final_amount', CAST(original_amount - original_amount * 0.10 AS DOUBLE),

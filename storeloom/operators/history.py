@@ -21,16 +21,21 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, tracked: l
 
     One full outer join of the current rows with the snapshot. Tracked columns
     are compared as values, not as hashes, so no change can be missed. Closed
-    rows of earlier steps pass through untouched.
+    rows of earlier steps pass through untouched. A NULL key meets itself; a row
+    without ``is_current`` is past; a key that the snapshot repeats is an error.
     """
     start = (valid_from if isinstance(valid_from, Column) else F.lit(valid_from)).cast("date")
-    past = history.filter(~F.col("is_current"))
+    past = history.filter(~F.coalesce("is_current", F.lit(False)))
     columns = [key, *tracked]
     now = history.filter("is_current").select(
         F.col(key).alias("k"),
         F.struct(*columns, "valid_from").alias("old"))
-    new = snapshot.select(F.col(key).alias("k"), F.struct(*columns).alias("new"))
-    pair = now.join(new, "k", "full_outer")
+    row = F.struct(*columns)
+    repeated = F.raise_error(F.concat(F.lit("the snapshot has a key more than once: "), F.coalesce(F.col("s").cast("string"), F.lit("NULL"))))
+    new = (snapshot.select(F.col(key).alias("s"), row.alias("new")).groupBy("s")
+           .agg(F.count(F.lit(1)).alias("n"), F.first("new").alias("new"))
+           .select("s", F.when(F.col("n") == 1, F.col("new")).otherwise(repeated).alias("new")))
+    pair = now.join(new, F.col("k").eqNullSafe(F.col("s")), "full_outer")
 
     is_old, is_new = F.col("old").isNotNull(), F.col("new").isNotNull()
     same = F.lit(True)

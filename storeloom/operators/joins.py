@@ -36,10 +36,11 @@ def with_contacts_of_few(few: DataFrame, dim_customer: DataFrame, columns: list[
     """``with_contacts`` for a top-k result: the dimension is first cut down to its names.
 
     The k rows are staged, since both the cut and the join read them, and the
-    dimension is never shuffled. Their fixed number is the bound of the broadcast.
+    dimension is cut before anything is shuffled. The staged rows carry their size,
+    so the planner broadcasts them by itself while that is safe.
     """
     staged = stage(few, "few_customers")
-    names = F.broadcast(staged.select(name_key(F.col("customer_name")).alias("name_key")).distinct())
+    names = staged.select(name_key(F.col("customer_name")).alias("name_key")).distinct()
     contacts = (dim_customer.select("full_name", *columns)
                 .withColumn("name_key", name_key(F.col("full_name")))
                 .join(names, "name_key", "left_semi").drop("name_key"))

@@ -140,8 +140,8 @@ def enforce(results: DataFrame) -> list:
     rows = results.collect()
     failed = [r for r in rows if r["status"] == FAILURE and r["level"] == ERROR]
     if failed:
-        raise QualityError("Data quality failed:\n" + "\n".join(
-            f"{r['constraint']}: {r['message']}" for r in failed))
+        listed = "; ".join(f"{r['constraint']} ({r['message']})" for r in failed)
+        raise QualityError(f"{len(failed)} of {len(rows)} checks do not hold: {listed}")
     return rows
 
 

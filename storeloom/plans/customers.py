@@ -21,7 +21,7 @@ CONTACT_COLUMNS = ["email", "phone", "city", "state"]
 
 def customer_spend(fact: DataFrame) -> DataFrame:
     return sales_only(fact).groupBy("customer_name").agg(
-        *sales_measures("total_spent"), F.max("order_date").alias("last_order_date"))
+        *sales_measures(fact, "total_spent"), F.max("order_date").alias("last_order_date"))
 
 
 def customer_segments(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -47,7 +47,7 @@ def percentile_customer_segments(fact: DataFrame, rules: Rules = DEFAULT_RULES)
     the fact is scanned once.
     """
     metrics = sales_only(fact).groupBy("customer_name").agg(
-        *sales_measures("total_spent"), F.max("order_date").alias("last_order_date"),
+        *sales_measures(fact, "total_spent"), F.max("order_date").alias("last_order_date"),
         F.count_distinct("product_code").alias("unique_products_purchased"))
     staged = stage(metrics, "customer_metrics")
     cuts = percentile_struct(staged, "total_spent", rules.lower_percentile, rules.upper_percentile)
@@ -61,7 +61,7 @@ def segment_counts(segments: DataFrame) -> DataFrame:
 def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` best buyers with their contact columns; at most one dimension row each."""
     spend = sales_only(fact).groupBy("customer_name", "phone_number", "address").agg(
-        *sales_measures("total_spent"))
+        *sales_measures(fact, "total_spent"))
     order = [F.desc("total_spent"), F.asc("customer_name"), F.asc("phone_number"), F.asc("address")]
     best = top_overall(spend, order, k)
     return with_contacts_of_few(best, dim_customer, CONTACT_COLUMNS)

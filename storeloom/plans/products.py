@@ -18,7 +18,7 @@ def territory_product_sales(fact: DataFrame) -> DataFrame:
     """Sales per territory and product. The family depends on the product alone,
     so it is attached after the aggregate instead of being a group key."""
     totals = sales_only(fact).groupBy("territory", "product_code").agg(
-        total(F.col("net_amount")).alias("total_sales"), F.count("order_number").alias("total_orders"))
+        total(fact, "net_amount").alias("total_sales"), F.count("order_number").alias("total_orders"))
     return totals.withColumn("product_family", product_family(F.col("product_code")))
 
 
@@ -59,7 +59,7 @@ def _with_best(products: DataFrame, value: str, best: str, gap: str) -> DataFram
 
 def product_performance(fact: DataFrame) -> DataFrame:
     """Per territory and product: revenue, quantity, orders, price, rank and gap to the best."""
-    revenue, quantity = total(F.col("net_amount")), F.sum("quantity")
+    revenue, quantity = total(fact, "net_amount"), F.sum("quantity")
     totals = sales_only(fact).groupBy("territory", "product_code", "product_line").agg(
         revenue.alias("total_revenue"), quantity.alias("total_quantity"),
         F.count_distinct("order_number").alias("order_count"),
@@ -75,19 +75,24 @@ def with_category(products: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     return products.withColumn("product_category", F.try_element_at(F.create_map(*pairs), F.col("product_family")))
 
 
-def cross_sell(fact: DataFrame, k: int = 10) -> DataFrame:
-    """For each of the ``k`` products in most orders: orders that also hold another product.
+def most_ordered(fact: DataFrame, k: int) -> DataFrame:
+    """The ``k`` products in most orders, as (product_code)."""
+    orders = sales_only(fact).select("order_number", "product_code").distinct()
+    counts = orders.groupBy("product_code").agg(F.count(F.lit(1)).alias("orders"))
+    return top_overall(counts, [F.desc("orders"), F.asc("product_code")], k).select("product_code")
 
-    Only lines that meet one of ``k`` anchor products are paired, so an order of
-    ``m`` products yields at most ``k * m`` rows instead of ``m * m``.
+
+def cross_sell(fact: DataFrame, anchors: DataFrame) -> DataFrame:
+    """For each of the given anchor products: orders that also hold another product, complete for the anchors.
+
+    Only lines that meet an anchor are paired, so an order of ``m`` products
+    with ``a`` anchors yields ``a * m`` rows instead of ``m * m``.
     """
     baskets = stage(sales_only(fact).select("order_number", "product_code").distinct(), "baskets")
-    counts = baskets.groupBy("product_code").agg(F.count(F.lit(1)).alias("anchor_orders"))
-    best = top_overall(counts, [F.desc("anchor_orders"), F.asc("product_code")], k)
-    anchors = F.broadcast(best.select(F.col("product_code").alias("anchor"), "anchor_orders"))
-    held = baskets.join(anchors, F.col("product_code") == F.col("anchor")).select(
-        "order_number", "anchor", "anchor_orders")
+    chosen = anchors.select(F.col("product_code").alias("anchor")).distinct()
+    held = stage(baskets.join(chosen, F.col("product_code") == F.col("anchor")).select("order_number", "anchor"), "anchored")
+    orders = held.groupBy("anchor").agg(F.count(F.lit(1)).alias("anchor_orders"))
     pairs = baskets.join(held, "order_number").filter(F.col("product_code") != F.col("anchor"))
-    return pairs.groupBy("anchor", "anchor_orders", "product_code").agg(
-        F.count(F.lit(1)).alias("orders_together")).withColumn(
+    together = pairs.groupBy("anchor", "product_code").agg(F.count(F.lit(1)).alias("orders_together"))
+    return orders.join(together, "anchor").withColumn(
         "share_of_anchor_orders", average(F.col("orders_together"), F.col("anchor_orders")))

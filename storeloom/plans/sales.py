@@ -55,7 +55,7 @@ def quarterly_refunds(fact: DataFrame) -> DataFrame:
 
 def product_family_sales(fact: DataFrame) -> DataFrame:
     family = product_family(F.col("product_code")).alias("product_family")
-    return sales_only(fact).groupBy(family).agg(*sales_measures()).orderBy(
+    return sales_only(fact).groupBy(family).agg(*sales_measures(fact)).orderBy(
         F.desc("total_sales"), "product_family")
 
 
@@ -68,7 +68,7 @@ def family_quantities(fact: DataFrame) -> DataFrame:
 def daily_insights(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Per day: sales, lines, mean, distinct customers and products, and a category."""
     days = sales_only(fact).groupBy("order_date").agg(
-        *sales_measures("daily_sales", "daily_orders", "daily_avg_order"),
+        *sales_measures(fact, "daily_sales", "daily_orders", "daily_avg_order"),
         F.count_distinct("customer_name").alias("unique_customers"),
         F.count_distinct("product_code").alias("unique_products"))
     staged = stage(days.select(day_text(F.col("order_date")).alias("order_date_str"), *days.columns[1:]),
@@ -84,7 +84,7 @@ def fiscal_aggregations(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     per day instead of every line.
     """
     days = sales_only(fact).groupBy("order_date").agg(
-        total(F.col("net_amount")).alias("amount"), F.count("order_number").alias("lines"),
+        total(fact, "net_amount").alias("amount"), F.count("order_number").alias("lines"),
         F.count("net_amount").alias("amounts"))
     amount = F.sum("amount")
     return (with_fiscal_day(days, calendar.select("CALENDAR_DATE", *FISCAL_KEYS))
@@ -100,7 +100,7 @@ def transaction_type_counts(fact: DataFrame) -> DataFrame:
 
 def territory_revenue(fact: DataFrame) -> DataFrame:
     return sales_only(fact).groupBy("territory").agg(
-        total(F.col("net_amount")).alias("total_revenue")).orderBy(
+        total(fact, "net_amount").alias("total_revenue")).orderBy(
         F.desc("total_revenue"), "territory")
 
 
@@ -111,11 +111,11 @@ def monthly_summary(fact: DataFrame) -> DataFrame:
     keys = periods(F.col("order_date"), ["year", "month"])
     months = fact.groupBy(keys[0].alias("year_number"), keys[1].alias("month_number"))
     return months.agg(
-        total(F.when(is_sale, F.col("net_amount"))).alias("total_sales"),
-        total(F.when(is_refund, F.col("net_amount"))).alias("total_refunds"),
+        total(fact, "net_amount", is_sale).alias("total_sales"),
+        total(fact, "net_amount", is_refund).alias("total_refunds"),
         F.sum(F.when(is_sale, F.col("quantity"))).alias("items_sold"),
         F.sum(F.when(is_refund, F.col("quantity"))).alias("items_refunded"),
-        total(F.col("restocking_fee")).alias("total_restocking_fees"),
+        total(fact, "restocking_fee").alias("total_restocking_fees"),
         F.count_distinct("customer_name").alias("unique_customers"))
 
 

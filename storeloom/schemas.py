@@ -9,78 +9,135 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(14, 2)
 NET_MONEY = T.DecimalType(18, 4)
 
-_TEXT, _INT, _LONG, _DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
-_DOUBLE, _FLAG, _TIME = T.DoubleType(), T.BooleanType(), T.TimestampType()
+# The column names and types of the landing files.
+TRANSACTIONS = T.StructType([
+    T.StructField("ORDERNUMBER", T.LongType()),
+    T.StructField("QUANTITYORDERED", T.IntegerType()),
+    T.StructField("ORDERLINENUMBER", T.IntegerType()),
+    T.StructField("TOTAL_AMOUNT", T.DoubleType()),
+    T.StructField("ORDERDATE", T.StringType()),
+    T.StructField("QTR_ID", T.IntegerType()),
+    T.StructField("MONTH_ID", T.IntegerType()),
+    T.StructField("YEAR_ID", T.IntegerType()),
+    T.StructField("PRODUCTCODE", T.StringType()),
+    T.StructField("CUSTOMERNAME", T.StringType()),
+    T.StructField("PHONE", T.StringType()),
+    T.StructField("ADDRESSLINE1", T.StringType()),
+    T.StructField("ADDRESSLINE2", T.StringType()),
+    T.StructField("CITY", T.StringType()),
+    T.StructField("STATE", T.StringType()),
+    T.StructField("POSTALCODE", T.StringType()),
+    T.StructField("COUNTRY", T.StringType()),
+    T.StructField("TERRITORY", T.StringType()),
+    T.StructField("CONTACTLASTNAME", T.StringType()),
+    T.StructField("CONTACTFIRSTNAME", T.StringType()),
+    T.StructField("DEALSIZE", T.StringType()),
+])
 
+CUSTOMERS = T.StructType([
+    T.StructField("first_name", T.StringType()),
+    T.StructField("last_name", T.StringType()),
+    T.StructField("company_name", T.StringType()),
+    T.StructField("address", T.StringType()),
+    T.StructField("city", T.StringType()),
+    T.StructField("county", T.StringType()),
+    T.StructField("state", T.StringType()),
+    T.StructField("postal_code", T.StringType()),
+    T.StructField("phone1", T.StringType()),
+    T.StructField("phone2", T.StringType()),
+    T.StructField("email", T.StringType()),
+    T.StructField("web", T.StringType()),
+])
 
-def _schema(*columns: tuple[T.DataType, str]) -> T.StructType:
-    """Columns in order, as pairs of a type and the names that have it."""
-    return T.StructType([T.StructField(name, kind) for kind, names in columns for name in names.split()])
+CALENDAR = T.StructType([
+    T.StructField("CALENDAR_DATE", T.DateType()),
+    T.StructField("WEEKDAY_NUMBER", T.IntegerType()),
+    T.StructField("WEEKDAY_NAME", T.StringType()),
+    T.StructField("FISCAL_WEEK_OF_MONTH", T.IntegerType()),
+    T.StructField("FISCAL_WEEK_OF_YEAR", T.IntegerType()),
+    T.StructField("FISCAL_MONTH_NUMBER", T.IntegerType()),
+    T.StructField("FISCAL_MONTH_NAME", T.StringType()),
+    T.StructField("FISCAL_FIRST_DAY_OF_WEEK", T.DateType()),
+    T.StructField("FISCAL_LAST_DAY_OF_WEEK", T.DateType()),
+    T.StructField("FISCAL_FIRST_DAY_OF_MONTH", T.DateType()),
+    T.StructField("FISCAL_LAST_DAY_OF_MONTH", T.DateType()),
+    T.StructField("FISCAL_DAY_OF_MONTH", T.IntegerType()),
+    T.StructField("FISCAL_QUARTER", T.IntegerType()),
+    T.StructField("FISCAL_YEAR", T.IntegerType()),
+    T.StructField("FISCAL_YEAR_WEEK", T.IntegerType()),
+    T.StructField("FISCAL_YEAR_MONTH", T.IntegerType()),
+    T.StructField("FISCAL_YEAR_QUARTER", T.IntegerType()),
+    T.StructField("CALENDAR_WEEK_OF_MONTH", T.IntegerType()),
+    T.StructField("CALENDAR_WEEK_OF_YEAR", T.IntegerType()),
+    T.StructField("CALENDAR_FIRST_DAY_OF_MONTH", T.DateType()),
+    T.StructField("CALENDAR_LAST_DAY_OF_MONTH", T.DateType()),
+    T.StructField("CALENDAR_FIRST_DAY_OF_YEAR", T.DateType()),
+    T.StructField("CALENDAR_LAST_DAY_OF_YEAR", T.DateType()),
+    T.StructField("WEEKEND", T.BooleanType()),
+])
 
-
-def _varchar(length: int) -> T.VarcharType:
-    return T.VarcharType(length)
-
-
-TRANSACTIONS = _schema(
-    (_LONG, "ORDERNUMBER"), (_INT, "QUANTITYORDERED ORDERLINENUMBER"), (_DOUBLE, "TOTAL_AMOUNT"),
-    (_TEXT, "ORDERDATE"), (_INT, "QTR_ID MONTH_ID YEAR_ID"),
-    (_TEXT, "PRODUCTCODE CUSTOMERNAME PHONE ADDRESSLINE1 ADDRESSLINE2 CITY STATE POSTALCODE"
-            " COUNTRY TERRITORY CONTACTLASTNAME CONTACTFIRSTNAME DEALSIZE"),
-)
-
-CUSTOMERS = _schema(
-    (_TEXT, "first_name last_name company_name address city county state postal_code"
-            " phone1 phone2 email web"),
-)
-
-CALENDAR = _schema(
-    (_DATE, "CALENDAR_DATE"), (_INT, "WEEKDAY_NUMBER"), (_TEXT, "WEEKDAY_NAME"),
-    (_INT, "FISCAL_WEEK_OF_MONTH FISCAL_WEEK_OF_YEAR FISCAL_MONTH_NUMBER"), (_TEXT, "FISCAL_MONTH_NAME"),
-    (_DATE, "FISCAL_FIRST_DAY_OF_WEEK FISCAL_LAST_DAY_OF_WEEK"
-            " FISCAL_FIRST_DAY_OF_MONTH FISCAL_LAST_DAY_OF_MONTH"),
-    (_INT, "FISCAL_DAY_OF_MONTH FISCAL_QUARTER FISCAL_YEAR FISCAL_YEAR_WEEK FISCAL_YEAR_MONTH"
-           " FISCAL_YEAR_QUARTER CALENDAR_WEEK_OF_MONTH CALENDAR_WEEK_OF_YEAR"),
-    (_DATE, "CALENDAR_FIRST_DAY_OF_MONTH CALENDAR_LAST_DAY_OF_MONTH"
-            " CALENDAR_FIRST_DAY_OF_YEAR CALENDAR_LAST_DAY_OF_YEAR"),
-    (_FLAG, "WEEKEND"),
-)
-
-# Warehouse targets: the precision and text widths that the load must respect.
+# The columns, precisions and text widths of the warehouse targets.
 # A value that does not fit is rejected, not cut.
 WAREHOUSE = {
-    "dim_customer": _schema(
-        (_varchar(500), "customer_key"), (_varchar(100), "first_name last_name"),
-        (_varchar(200), "full_name email company_name"), (_varchar(500), "address"),
-        (_varchar(100), "city"), (_varchar(50), "state"), (_varchar(20), "postal_code"),
-        (_varchar(50), "phone"), (_TIME, "created_date"),
-    ),
-    "dim_product": _schema(
-        (_varchar(50), "PRODUCTCODE product_key"), (_varchar(100), "product_family product_line"),
-        (_TIME, "created_date"),
-    ),
-    "dim_calendar": _schema(
-        (_DATE, "date_key"), (_INT, "year month day quarter day_of_week"),
-        (_varchar(20), "month_name day_name"), (_TIME, "created_date"),
-    ),
-    "fact_transactions": _schema(
-        (_LONG, "order_number"), (_varchar(200), "customer_name"), (_varchar(500), "address"),
-        (_varchar(50), "phone_number product_code"), (_INT, "quantity"),
-        (T.DecimalType(10, 2), "unit_price"), (T.DecimalType(12, 2), "total_amount"),
-        (_varchar(20), "deal_size"), (_varchar(50), "territory"), (_DATE, "order_date"),
-        (_varchar(50), "status"), (_varchar(100), "product_line"), (_TIME, "created_date"),
-        (_varchar(20), "transaction_type"), (T.DecimalType(10, 2), "restocking_fee"),
-        (T.DecimalType(12, 2), "net_amount"), (_FLAG, "is_large_order"),
-    ),
-    "customer_segments": _schema(
-        (_varchar(200), "customer_name"), (T.DecimalType(12, 2), "total_spent"), (_INT, "total_orders"),
-        (T.DecimalType(10, 2), "avg_order_value"), (_DATE, "last_order_date"),
-        (_varchar(50), "customer_segment"), (_TIME, "created_date"),
-    ),
+    "dim_customer": T.StructType([
+        T.StructField("customer_key", T.VarcharType(500)),
+        T.StructField("first_name", T.VarcharType(100)),
+        T.StructField("last_name", T.VarcharType(100)),
+        T.StructField("full_name", T.VarcharType(200)),
+        T.StructField("email", T.VarcharType(200)),
+        T.StructField("company_name", T.VarcharType(200)),
+        T.StructField("address", T.VarcharType(500)),
+        T.StructField("city", T.VarcharType(100)),
+        T.StructField("state", T.VarcharType(50)),
+        T.StructField("postal_code", T.VarcharType(20)),
+        T.StructField("phone", T.VarcharType(50)),
+        T.StructField("created_date", T.TimestampType()),
+    ]),
+    "dim_product": T.StructType([
+        T.StructField("PRODUCTCODE", T.VarcharType(50)),
+        T.StructField("product_key", T.VarcharType(50)),
+        T.StructField("product_family", T.VarcharType(100)),
+        T.StructField("product_line", T.VarcharType(100)),
+        T.StructField("created_date", T.TimestampType()),
+    ]),
+    "dim_calendar": T.StructType([
+        T.StructField("date_key", T.DateType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("day", T.IntegerType()),
+        T.StructField("quarter", T.IntegerType()),
+        T.StructField("day_of_week", T.IntegerType()),
+        T.StructField("month_name", T.VarcharType(20)),
+        T.StructField("day_name", T.VarcharType(20)),
+        T.StructField("created_date", T.TimestampType()),
+    ]),
+    "fact_transactions": T.StructType([
+        T.StructField("order_number", T.LongType()),
+        T.StructField("customer_name", T.VarcharType(200)),
+        T.StructField("address", T.VarcharType(500)),
+        T.StructField("phone_number", T.VarcharType(50)),
+        T.StructField("product_code", T.VarcharType(50)),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("unit_price", T.DecimalType(10, 2)),
+        T.StructField("total_amount", T.DecimalType(12, 2)),
+        T.StructField("deal_size", T.VarcharType(20)),
+        T.StructField("territory", T.VarcharType(50)),
+        T.StructField("order_date", T.DateType()),
+        T.StructField("status", T.VarcharType(50)),
+        T.StructField("product_line", T.VarcharType(100)),
+        T.StructField("created_date", T.TimestampType()),
+        T.StructField("transaction_type", T.VarcharType(20)),
+        T.StructField("restocking_fee", T.DecimalType(10, 2)),
+        T.StructField("net_amount", T.DecimalType(12, 2)),
+        T.StructField("is_large_order", T.BooleanType()),
+    ]),
+    "customer_segments": T.StructType([
+        T.StructField("customer_name", T.VarcharType(200)),
+        T.StructField("total_spent", T.DecimalType(12, 2)),
+        T.StructField("total_orders", T.IntegerType()),
+        T.StructField("avg_order_value", T.DecimalType(10, 2)),
+        T.StructField("last_order_date", T.DateType()),
+        T.StructField("customer_segment", T.VarcharType(50)),
+        T.StructField("created_date", T.TimestampType()),
+    ]),
 }
-
-# Partial daily sums kept by the incremental aggregate, one set per batch.
-DAILY_PARTIALS = _schema(
-    (_DATE, "order_date"), (_TEXT, "transaction_type"), (T.DecimalType(28, 4), "net_amount"),
-    (T.DecimalType(27, 4), "restocking_fee"), (_LONG, "lines batch_id"),
-)

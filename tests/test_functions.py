@@ -110,9 +110,9 @@ def test_rename_drifted_prefers_first_value(spark):
 
 
 def test_masking(spark):
-    df = spark.createDataFrame([("ann@b.co", "+001234567"), ("bad", "12"), (None, None)], "e string, p string")
+    df = spark.createDataFrame([("ann@b.co", "+001234567"), ("bad", "12"), ("n/a", "none"), (None, None)], "e string, p string")
     got = [tuple(r) for r in df.select(privacy.masked_email(F.col("e")), privacy.masked_phone(F.col("p"))).collect()]
-    assert got == [("a***@b.co", "+*****4567"), ("***", "12"), (None, None)]
+    assert got == [("a***@b.co", "+*****4567"), ("***", "**"), ("***", "***"), (None, None)]
 
 
 def test_sql_functions_are_inlined(spark):
@@ -122,3 +122,34 @@ def test_sql_functions_are_inlined(spark):
     assert df.first()[0] == "S10" and "Python" not in plan
     row = spark.sql("SELECT calculate_restocking_fee(100, 'Refund'), calculate_refund_with_fee(-50, true).final_amount").first()
     assert tuple(row) == (10.0, -45.0)
+
+
+def test_totals_are_exact_for_any_fee_rate(spark):
+    from dataclasses import replace
+    from decimal import Decimal
+
+    from storeloom.config import DEFAULT_RULES
+    from storeloom.operators.periods import refund_measures
+    from storeloom.plans import star
+
+    lines = spark.range(1000).selectExpr("id AS ORDERNUMBER", "CAST(-0.33 AS DOUBLE) AS TOTAL_AMOUNT")
+    rules = replace(DEFAULT_RULES, restocking_fee_rate=Decimal("0.125"))
+    fact = star.fact_transactions(lines, rules, columns=["order_number", "net_amount", "restocking_fee"])
+    row = fact.agg(*refund_measures(fact)).first()
+    assert (row["total_refunds"], row["total_restocking_fees"]) == (Decimal("288.75"), Decimal("41.25"))
+
+
+def test_scratch_without_a_checkpoint_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = ("from pyspark.sql import SparkSession\n"
+            "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+            "from storeloom.scratch import scratch_root, stage\n"
+            "assert stage(spark.range(3), 'x').count() == 3\n"
+            "assert scratch_root(spark) == scratch_root(spark)\n")
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "TMPDIR": str(tmp_path)}
+    subprocess.run([sys.executable, "-c", code], check=True, env=env, cwd=Path(__file__).resolve().parents[1], timeout=180)

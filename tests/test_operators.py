@@ -177,7 +177,7 @@ def test_cross_sell_matches_brute_force(spark):
     rng = random.Random(5)
     lines = [line(order=rng.randrange(40), code=f"S1_{rng.randrange(12)}") for _ in range(200)]
     lines += [line(order=99, code=f"S1_{i}") for i in range(12) for _ in range(20)]  # one order holds most rows
-    got = {(r["anchor"], r["product_code"]): r["orders_together"] for r in products.cross_sell(fact(spark, lines), 3).collect()}
+    got = {(r["anchor"], r["product_code"]): r["orders_together"] for r in products.cross_sell(fact(spark, lines), products.most_ordered(fact(spark, lines), 3)).collect()}
     baskets = {}
     for row in lines:
         baskets.setdefault(row[0], set()).add(row[4])
@@ -217,3 +217,21 @@ def test_snapshot_steps(spark, rows):
 def test_retention_prunes_by_date(spark, rows):
     df = spark.createDataFrame([(1, date(2020, 1, 1)), (2, date(2020, 1, 31)), (3, None)], "i int, d date")
     assert [r[0] for r in rows(history.retained(df, "d", date(2020, 2, 1), 1))] == [2, 3]
+
+
+def test_history_null_key_is_stable_and_repeated_keys_raise(spark):
+    first = spark.createDataFrame([(None, "a"), ("x", "b")], "k string, v string")
+    state = history.new_history(first, date(2024, 1, 1))
+    for month in (2, 3, 4):
+        state = history.apply_snapshot(state, first, "k", ["v"], date(2024, month, 1))
+    assert sorted((r["k"] or "", r["v"], r["is_current"]) for r in state.collect()) == [("", "a", True), ("x", "b", True)]
+    twice = spark.createDataFrame([("x", "b"), ("x", "c")], "k string, v string")
+    with pytest.raises(Exception, match="more than once"):
+        history.apply_snapshot(state, twice, "k", ["v"], date(2024, 5, 1)).collect()
+
+
+def test_history_keeps_rows_without_a_current_flag(spark):
+    old = spark.createDataFrame([("x", "b", date(2024, 1, 1), None, None)],
+                                "k string, v string, valid_from date, valid_to date, is_current boolean")
+    new = spark.createDataFrame([("x", "b")], "k string, v string")
+    assert history.apply_snapshot(old, new, "k", ["v"], date(2024, 2, 1)).count() == 2
