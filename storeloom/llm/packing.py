@@ -12,6 +12,8 @@ Extra columns are ignored unless named in ``keep``.
 
 from __future__ import annotations
 
+import functools
+import re
 import struct
 import zlib
 from collections import Counter
@@ -29,35 +31,73 @@ from storeloom.llm.texts import map_texts
 from storeloom.scratch import stage
 
 CAPACITY = 4096
-CACHE = 300_000
+CACHE = 200_000
+SLICE_BYTES = 2 << 20
 # Python splits at these, the tokenizer does not.
 _NOT_BLANKS = "\x1c\x1d\x1e\x1f"
+# Fixed by the tokenizer: how it cuts a lower-cased part, and its marks. Only ASCII and the letters of Latin-1 are cut
+# here: they lower-case one to one and are never composed with their neighbours. Other parts take the tokenizer's whole way.
+_PLAIN = re.compile(r"[\x00-\x7F\xC0-\xD6\xD8-\xF6\xF8-\xFF]+")
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z\xDF-\xF6\xF8-\xFF]+|[0-9]|[^a-z0-9\xDF-\xF6\xF8-\xFF]+")
+_MARK = "<|"
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class Ids:
-    """Token ids as little-endian bytes, for a tokenizer that never joins text across blanks.
+    """Token ids as little-endian bytes, for a lower-casing byte-level tokenizer that never joins text across blanks.
 
-    Each blank-separated part is encoded once and remembered; the memory is emptied when it holds CACHE parts.
+    Each blank-separated part is encoded once and remembered, as are its pieces; a memory is emptied when it holds CACHE.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.parts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            found = self.pieces[piece] = _packed([t.id for t in self.model.tokenize(letters)])
+        return found
+
+    def _part(self, part: str) -> bytes:
+        if _MARK in part or not _PLAIN.fullmatch(part):
+            return self._whole(part)
+        return b"".join(map(self._piece, _PIECE.findall(part.lower())))
 
     def __call__(self, text: str) -> bytes:
         if any(c in text for c in _NOT_BLANKS):
-            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        parts = text.split()
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
-        if new:
-            if len(self.known) > CACHE:
-                self.known.clear()
-                new = list(dict.fromkeys(parts))
-            for part, encoded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[part] = _packed(encoded.ids)
-        return b"".join(map(self.known.__getitem__, parts))
+            return self._whole(text)
+        if len(self.parts) > CACHE:
+            self.parts.clear()
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        parts, known = text.split(), self.parts
+        for part in set(parts).difference(known):
+            known[part] = self._part(part)
+        return b"".join(map(known.__getitem__, parts))
+
+
+@functools.cache
+def _ids(path: str) -> Ids:
+    """One tokenizer for all tasks of a worker."""
+    return Ids(path)
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -74,10 +114,11 @@ def _pieces(with_ids: bool) -> T.StructType:
 
 
 def cut(documents: DataFrame, text: Column, path: str, end_id: int = 1, capacity: int = CAPACITY,
-        with_ids: bool = False) -> DataFrame:
-    """One row per piece: struct ``row``, task, piece, start, length, ids_crc32, number within task and length."""
+        with_ids: bool = False, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """One row per piece: struct ``row`` (of the columns to keep, or all), task, piece, start, length, ids_crc32, number
+    within task and length."""
     def run(parts: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
-        encode, end = Ids(path), struct.pack("<I", end_id)
+        encode, end = _ids(path), struct.pack("<I", end_id)
         task, numbers = TaskContext.get().partitionId(), Counter()
         for texts in parts:
             out = []
@@ -96,7 +137,7 @@ def cut(documents: DataFrame, text: Column, path: str, end_id: int = 1, capacity
                 out.append(pieces)
             yield [[task] * len(texts), out]
 
-    found = map_texts(documents, text, _pieces(with_ids), run)
+    found = map_texts(documents, text, _pieces(with_ids), run, SLICE_BYTES, keep)
     return found.select("row", "task", F.explode("pieces").alias("p")).select("row", "task", "p.*")
 
 
@@ -119,8 +160,7 @@ def pack(documents: DataFrame, text: Column, path: str, end_id: int = 1, capacit
          keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """One row per piece: the kept columns, piece, start, length, ids_crc32, sequence_id and offset (and ids)."""
     spark = documents.sparkSession
-    rows = documents.select(*keep, text.cast("string").alias("_text_to_pack"))
-    pieces = cut(rows, F.col("_text_to_pack"), path, end_id, capacity, with_ids)
+    pieces = cut(documents, text, path, end_id, capacity, with_ids, keep)
     pieces = stage(pieces.select(*[F.col(f"row.{c}").alias(c) for c in keep],
                                  *[c for c in pieces.columns if c != "row"]), "pieces")
     per_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))

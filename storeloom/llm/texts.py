@@ -5,7 +5,7 @@ Rows travel as one struct column, so a document column of any name cannot clash
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,13 +28,15 @@ def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[tuple[pa.
 
 def map_texts(documents: DataFrame, text: Column, added: T.StructType,
               function: Callable[[Iterator[list[bytes | None]]], Iterator[list[list]]],
-              slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """All rows with their columns in struct ``row`` and the ``added`` columns.
+              slice_bytes: int = SLICE_BYTES, keep: Sequence[str] | None = None) -> DataFrame:
+    """All rows with their columns (or those to keep) in struct ``row`` and the ``added`` columns.
+
+    A column that is kept travels to the task and back; columns that nobody reads, such as the text, are better left out.
 
     ``function`` gets the texts of a task slice by slice (UTF-8, null as None) and yields, for each slice,
     one list of values per added column.
     """
-    frame = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+    frame = documents.select(F.struct(*[F.col(f"`{c}`") for c in (documents.columns if keep is None else keep)]).alias("row"),
                              text.cast("string").cast("binary").alias("text"))
     schema = T.StructType([T.StructField("row", frame.schema["row"].dataType), *added.fields])
 
