@@ -173,8 +173,8 @@ DOCUMENT = T.StructType([
 
 
 def score_documents(documents: DataFrame, text: Column, in_training: Column, path: str,
-                    frequent_words: int = 150_000) -> DataFrame:
-    """All rows in struct ``row`` with n_tokens, n_known, train_tokens, base_score and score (log10)."""
+                    frequent_words: int = 150_000, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """All rows (with all columns or those to keep) in struct ``row`` with n_tokens, n_known, train_tokens, base_score and score (log10)."""
     spark = documents.sparkSession
     words = stage(count_words(documents, text, in_training), "words")
     ends = documents.where(in_training).count()
@@ -208,7 +208,7 @@ def score_documents(documents: DataFrame, text: Column, in_training: Column, pat
                     column.append(x)
             yield columns
 
-    scored = stage(map_texts(documents, text, DOCUMENT, run), "document-scores")
+    scored = stage(map_texts(documents, text, DOCUMENT, run, keep=keep), "document-scores")
     rare = (scored.select("place", F.explode("others").alias("o")).select("place", "o.word", "o.times")
             .join(others, "word")
             .groupBy("place").agg(F.sum(F.when(F.col("known"), F.col("times")).otherwise(0)).alias("more_known"),

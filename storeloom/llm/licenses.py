@@ -156,8 +156,8 @@ ADDED = T.StructType([
     T.StructField("labels", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
-def scan(documents: DataFrame, text: Column) -> DataFrame:
-    """All rows in struct ``row`` with word count, places of the fixed phrases, labels and score: the best share of a
+def scan(documents: DataFrame, text: Column, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """All rows (with all columns or those to keep) in struct ``row`` with word count, places of the fixed phrases, labels and score: the best share of a
     license's words in place, at least one half where only a fixed phrase is found, else 0."""
     counts = document_counts(documents, text)
     base = [(p.encode().split(), label) for p, label in BASE.items()]
@@ -181,4 +181,4 @@ def scan(documents: DataFrame, text: Column) -> DataFrame:
                              ",".join(sorted(labels)), ",".join(sorted(labels | found.keys())), score))
             yield [list(c) for c in zip(*rows, strict=True)]
 
-    return map_texts(documents, text, ADDED, run)
+    return map_texts(documents, text, ADDED, run, keep=keep)

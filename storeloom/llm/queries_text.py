@@ -20,10 +20,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_lm_scoring")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = table(spark, sf_dir, "documents")
     kept_out = language_id.held_out(F.col("doc_id"), 7)
-    scored = lattice_lm.score_documents(documents.select("doc_id", "text"), F.col("text"), ~kept_out,
-                                        tokenizer_path("piece_bpe_32k.model"))
+    scored = lattice_lm.score_documents(documents, F.col("text"), ~kept_out, tokenizer_path("piece_bpe_32k.model"),
+                                        keep=("doc_id",))
     doc_id = F.col("row.doc_id")
     return scored.select(doc_id, language_id.held_out(doc_id, 7).alias("held_out"), "n_tokens", "n_known",
                          "train_tokens", "base_score", "score")
@@ -36,7 +36,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"))
+    found = secrets.scan(table(spark, sf_dir, "documents"), F.col("text"), keep=("doc_id",))
 
     def of(kind: str):
         return F.filter("found", lambda s: s["rank"] == secrets.KINDS.index(kind))
@@ -50,7 +50,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_license_scan")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"))
+    found = licenses.scan(table(spark, sf_dir, "documents"), F.col("text"), keep=("doc_id",))
     return found.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 

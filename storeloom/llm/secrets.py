@@ -175,10 +175,10 @@ def thresholds(histogram: dict[tuple[str, int], dict[int, int]], false_share: fl
     return out
 
 
-def scan(documents: DataFrame, text: Column, false_share: float = 0.05) -> DataFrame:
-    """All rows in struct ``row`` with ``found``: spans (start, rank, end) of all kinds in order; rank is the place in
+def scan(documents: DataFrame, text: Column, false_share: float = 0.05, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """All rows (with all columns or those to keep) in struct ``row`` with ``found``: spans (start, rank, end) of all kinds in order; rank is the place in
     KINDS. The statistics of the tests cover all documents."""
-    scanned = stage(map_texts(documents, text, ADDED, _scan), "secret-spans")
+    scanned = stage(map_texts(documents, text, ADDED, _scan, keep=keep), "secret-spans")
     counted = (scanned.select(F.explode("chances").alias("c")).groupBy("c.encoding", "c.band", "c.bin").count().collect())
     histogram: dict[tuple[str, int], dict[int, int]] = {}
     for r in counted:
