@@ -419,6 +419,16 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_documents(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("similarity", [0.5, 0.75, 0.9, 1.0])
+def test_lengths_within_reach_share_a_band(spark, similarity):
+    sizes = spark.range(1, 400).select(F.col("id").cast("int").alias("n"))
+    rows = sizes.select("n", line_dedup._bands(F.col("n"), similarity).alias("bands")).collect()
+    bands = {r["n"]: set(r["bands"]) for r in rows}
+    for a, b in itertools.combinations(bands, 2):
+        if b - a <= int(b * (1 - similarity) + 1e-9):
+            assert bands[a] & bands[b]
+
+
 def test_license_scan(spark):
     texts = [(1, "Released under the MIT License."), (2, "x MIT License mit-license"), (3, "general public  license, apache LICENSE"), (4, None),
              (5, ""), (6, "the license of nothing"), (7, "a " * 30 + licenses.TEMPLATES[9].text + " b"), (8, "Licensed under CC BY-NC 4.0."),
