@@ -52,13 +52,17 @@ def gate(raw: dict[str, DataFrame], suites: dict[str, tuple] | None = None) -> N
 
 def model(raw: dict[str, DataFrame], processed: str, run_time: datetime, rules: Rules = DEFAULT_RULES,
           fmt: str = "parquet") -> dict[str, int]:
-    """Dimensions, fact and segments to the processed zone. Rows written by table."""
+    """Dimensions, fact and segments to the processed zone, unreadable lines to a table of their own. Rows written by
+    table."""
     spark = raw["transactions"].sparkSession
+    rejects = {f"rejected_{name}": files.rejected_lines(df) for name, df in raw.items() if files.CORRUPT_COLUMN in df.columns}
+    raw = {name: files.good_lines(df) for name, df in raw.items()}
     tables = {
         "dim_customer": star.dim_customer(raw["customers"]),
         "dim_product": star.dim_product(raw["transactions"], run_time),
         "dim_calendar": star.dim_calendar(raw["calendar"], run_time),
         "fact_transactions": star.fact_transactions(raw["transactions"], rules, run_time),
+        **rejects,
     }
     rows = {name: write_table(df, f"{processed}/{name}", fmt) for name, df in tables.items()}
     fact = read_table(spark, f"{processed}/fact_transactions", fmt)

@@ -41,10 +41,15 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 def read_csv_keeping_corrupt(spark: SparkSession, path: str | list[str],
                              schema: T.StructType) -> DataFrame:
-    """Typed scan that keeps unreadable lines whole in ``_corrupt_record``."""
+    """Typed scan that keeps unreadable lines whole in ``_corrupt_record``.
+
+    A file whose header names other columns, or the same in another order, is an error: its values would land in the
+    wrong columns.
+    """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
     return (spark.read.schema(full)
             .option("header", True)
+            .option("enforceSchema", False)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
             .csv(path))
@@ -160,9 +165,23 @@ def identify_customers(raw: DataFrame) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, path: str,
                      run_time: datetime | Column | None = None) -> DataFrame:
-    return with_lineage(read_csv(spark, path, schema=schemas.TRANSACTIONS), run_time)
+    """Every line of the files; ``good_lines`` and ``rejected_lines`` part them once they are stored."""
+    return with_lineage(read_csv_keeping_corrupt(spark, path, schemas.TRANSACTIONS), run_time)
 
 
 def raw_calendar(spark: SparkSession, path: str,
                  run_time: datetime | Column | None = None) -> DataFrame:
-    return with_lineage(read_csv(spark, path, schema=schemas.CALENDAR), run_time)
+    return with_lineage(read_csv_keeping_corrupt(spark, path, schemas.CALENDAR), run_time)
+
+
+def good_lines(raw: DataFrame) -> DataFrame:
+    """The lines of a stored raw table that could be read, without the column of unreadable ones."""
+    if CORRUPT_COLUMN not in raw.columns:
+        return raw
+    return raw.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+
+
+def rejected_lines(raw: DataFrame) -> DataFrame:
+    """(line, source_file, ingestion_date) of the unreadable lines of a stored raw table."""
+    return raw.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(
+        F.col(CORRUPT_COLUMN).alias("line"), "source_file", "ingestion_date")

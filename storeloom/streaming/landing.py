@@ -15,11 +15,12 @@ from pyspark.sql import types as T
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                    files_per_batch: int = 1000, glob: str | None = None) -> DataFrame:
-    """New files below ``path`` as a stream with a declared schema."""
+    """New files below ``path`` as a stream with a declared schema. A CSV header that differs from it is an error; an
+    unreadable line is kept whole in the column ``_corrupt_record`` if the schema has one."""
     reader = (spark.readStream.format(fmt).schema(schema)
               .option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True))
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)

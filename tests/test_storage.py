@@ -84,6 +84,14 @@ def test_corrupt_lines_are_kept(spark, tmp_path):
     assert out[1]["TOTAL_AMOUNT"] is None
 
 
+def test_swapped_header_is_an_error(spark, tmp_path):
+    names = list(schemas.TRANSACTIONS.names)
+    names[1], names[2] = names[2], names[1]
+    (tmp_path / "swapped.csv").write_text(",".join(names) + "\n" + ",".join(["1"] * len(names)) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.raw_transactions(spark, str(tmp_path / "swapped.csv")).collect()
+
+
 def test_csv_without_header_or_schema(spark, tmp_path):
     path = tmp_path / "n.csv"
     path.write_text("1,x\n2,y\n")

@@ -144,6 +144,27 @@ def raw_transactions(spark, d):
                        F.to_date("ingestion_date").alias("ingestion_date"))
 
 
+@query("ing_2_rejected_lines", """
+    SELECT PRODUCTCODE, count(*) FILTER (ORDERNUMBER % 10 = 3) AS rejected, count(*) FILTER (ORDERNUMBER % 10 <> 3) AS good,
+           CAST(sum(CAST(TOTAL_AMOUNT AS DECIMAL(14,2))) FILTER (ORDERNUMBER % 10 <> 3) AS DOUBLE) AS good_amount
+    FROM transactions GROUP BY ALL""")
+def rejected_lines(spark, d):
+    """Every line lands; the amounts of some orders are written as text that is no number."""
+    landing, raw = scratch_dir(spark, "landing-bad"), scratch_dir(spark, "raw-bad")
+    lines = spark.read.schema(files.text_schema(schemas.TRANSACTIONS.names)).option("header", True).csv(land_transactions(spark, d))
+    bad = F.col("ORDERNUMBER").cast("long") % 10 == 3
+    (lines.withColumn("TOTAL_AMOUNT", F.when(bad, "ten").otherwise(F.col("TOTAL_AMOUNT")))
+     .write.option("header", True).csv(landing))
+    tables.write_table(files.raw_transactions(spark, landing, RUN_TIME), raw)
+    stored = read_table(spark, raw)
+    code = F.split("line", ",")[schemas.TRANSACTIONS.names.index("PRODUCTCODE")]
+    rejected = files.rejected_lines(stored).groupBy(code.alias("PRODUCTCODE")).agg(F.count("*").alias("rejected"))
+    good = files.good_lines(stored).groupBy("PRODUCTCODE").agg(
+        F.count("*").alias("good"), F.sum(F.col("TOTAL_AMOUNT").cast(schemas.MONEY)).alias("good_amount"))
+    return doubles(good.join(rejected, "PRODUCTCODE", "full_outer").select(
+        "PRODUCTCODE", F.coalesce("rejected", F.lit(0)).alias("rejected"), F.coalesce("good", F.lit(0)).alias("good"), "good_amount"))
+
+
 @query("ing_2_raw_calendar", "SELECT CALENDAR_DATE, FISCAL_YEAR, FISCAL_MONTH_NAME FROM calendar")
 def raw_calendar(spark, d):
     path = scratch_dir(spark, "landing-calendar")
