@@ -9,9 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from storeloom.operators.history import retained
+from storeloom.sources.tables import read_table
+
 ANALYTICS_PREFIX = "analytics_"
 
 
@@ -46,6 +51,17 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: s
     return written.get["rows"]
 
 
+def purge_table(spark: SparkSession, path: str, target: str, day: str, as_of: date | Column, keep_days: int,
+                fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
+    """Write a stored table without its expired rows to ``target``, a fresh path, and return the number of rows kept.
+
+    The old path is left for the caller to swap and delete once the new one is in use, so a lost job loses nothing.
+    """
+    if path.rstrip("/") == target.rstrip("/"):
+        raise ValueError("a table cannot be purged into the path it is read from")
+    return write_table(retained(read_table(spark, path, fmt), day, as_of, keep_days), target, fmt, "error", partition_by)
+
+
 def write_analytics(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, int]:
     """Write each table as ``analytics_<name>`` below ``root``; rows written by table name."""
     return {name: write_table(df, f"{root.rstrip('/')}/{ANALYTICS_PREFIX}{name}", fmt)

@@ -202,3 +202,13 @@ def test_gate_stops_the_refresh(spark, tmp_path, landing):
     with pytest.raises(quality.QualityError):
         refresh.refresh(spark, zone, str(tmp_path / "raw"), str(processed), RUN)
     assert not processed.exists()
+
+
+def test_purge_needs_a_fresh_path(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    days = spark.createDataFrame([(1, date(2020, 1, 1)), (2, date(2020, 3, 1)), (3, None)], "n int, d date")
+    tables.write_table(days, old)
+    with pytest.raises(ValueError, match="purged"):
+        tables.purge_table(spark, old, old + "/", "d", date(2020, 3, 2), 10)
+    assert tables.purge_table(spark, old, new, "d", date(2020, 3, 2), 10) == 2
+    assert {r["n"] for r in read_table(spark, new).collect()} == {2, 3}
