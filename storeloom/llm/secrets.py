@@ -7,7 +7,8 @@ middle of the alphabet, and serial correlation of neighbours. Fisher's method jo
 is uniform for a random string and near zero for words or names. How many strings are truly random is estimated from
 the corpus for each encoding and length band (a short string gives the tests less power, so each length band has
 its own threshold): the lowest threshold is taken at which the estimated share of false discoveries stays within
-``false_share``. A candidate within a fixed pattern's match is left out.
+``false_share``. Strings count once, however many copies there are. Bands of few strings are judged together. A
+candidate within a fixed pattern's match is left out.
 
 Defined cases: null text is empty; an empty text has no spans. Offsets count code points, ends are exclusive.
 Repeated rows get equal results, other columns are kept. Hot strings only add to counts.
@@ -21,6 +22,7 @@ import string
 from collections import Counter
 from collections.abc import Iterator
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +42,8 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_LENGTH = 20
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 BINS = 64
+SPARSE = 500  # distinct strings below which a band gives no estimate of its own
+SPARSE_LEAST = 4  # lowest bin that a sparse band may accept: words and names lie below it
 _LOWER, _UPPER, _DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
 ALPHABETS = {
     "hex": _DIGITS + "abcdef",
@@ -133,7 +137,7 @@ def _band(length: int) -> int:
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("rank", T.IntegerType()),
                      T.StructField("end", T.IntegerType())])
 CHANCE = T.StructType([*SPAN.fields, T.StructField("encoding", T.StringType()), T.StructField("band", T.IntegerType()),
-                       T.StructField("bin", T.IntegerType())])
+                       T.StructField("bin", T.IntegerType()), T.StructField("hash", T.LongType())])
 ADDED = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("chances", T.ArrayType(CHANCE))])
 
 
@@ -152,34 +156,51 @@ def _scan(parts: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
                 if encoding is not None:
                     p = randomness(m[0], encoding)
                     found.append({"start": m.start(), "rank": 3, "end": m.end(), "encoding": encoding,
-                                  "band": _band(m.end() - m.start()), "bin": min(BINS - 1, int(p * BINS))})
+                                  "band": _band(m.end() - m.start()), "bin": min(BINS - 1, int(p * BINS)),
+                                  "hash": xxhash.xxh3_64_intdigest(m[0]) - (1 << 63)})
             bases.append([{"start": s, "rank": k, "end": e} for s, k, e in base])
             chances.append(found)
         yield [bases, chances]
 
 
+def _lowest(bins: dict[int, int], false_share: float, random: float) -> int:
+    """The lowest bin from which on the share of false discoveries stays within bounds; ``random`` strings are in the top quarter."""
+    per_bin, accepted, least = random / (BINS // 4), 0, BINS
+    for b in range(BINS - 1, -1, -1):
+        accepted += bins.get(b, 0)
+        if accepted and accepted - per_bin * (BINS - b) <= false_share * accepted:
+            least = b
+    return least
+
+
 def thresholds(histogram: dict[tuple[str, int], dict[int, int]], false_share: float = 0.05) -> dict[tuple[str, int], int]:
-    """Lowest accepted bin of each encoding and length band; BINS accepts none.
+    """Lowest accepted bin of each encoding and length band, from its numbers of distinct strings; BINS accepts none.
 
     Random strings spread evenly over the bins, so the top quarter tells how many there are; what a range of bins
-    holds beyond its even share are false discoveries.
+    holds beyond its even share are false discoveries. Bands of fewer than SPARSE strings share one threshold, taken
+    from all of them; there the number of random strings is its upper 95 % bound, since few strings or even one may
+    all lie below the top quarter, and bins below SPARSE_LEAST stay out.
     """
-    out = {}
+    out, pool, sparse = {}, Counter(), []
     for key, bins in histogram.items():
-        per_bin = sum(bins.get(b, 0) for b in range(BINS - BINS // 4, BINS)) / (BINS // 4)
-        accepted, out[key] = 0, BINS
-        for b in range(BINS - 1, -1, -1):
-            accepted += bins.get(b, 0)
-            if accepted and accepted - per_bin * (BINS - b) <= false_share * accepted:
-                out[key] = b
-    return out
+        if sum(bins.values()) < SPARSE:
+            pool.update(bins)
+            sparse.append(key)
+        else:
+            out[key] = _lowest(bins, false_share, sum(bins.get(b, 0) for b in range(BINS - BINS // 4, BINS)))
+    top = sum(pool[b] for b in range(BINS - BINS // 4, BINS))
+    # Upper bound of a Poisson mean, by the cube root approximation; 3.0 for no string seen.
+    bound = (top + 1) * (1 - 1 / (9 * (top + 1)) + 1.645 / (3 * math.sqrt(top + 1))) ** 3
+    shared = max(SPARSE_LEAST, _lowest(pool, false_share, bound))
+    return out | dict.fromkeys(sparse, shared)
 
 
 def scan(documents: DataFrame, text: Column, false_share: float = 0.05, keep: tuple[str, ...] | None = None) -> DataFrame:
     """All rows (with all columns or those to keep) in struct ``row`` with ``found``: spans (start, rank, end) of all kinds in order; rank is the place in
     KINDS. The statistics of the tests cover all documents."""
     scanned = stage(map_texts(documents, text, ADDED, _scan, keep=keep), "secret-spans")
-    counted = (scanned.select(F.explode("chances").alias("c")).groupBy("c.encoding", "c.band", "c.bin").count().collect())
+    strings = scanned.select(F.explode("chances").alias("c")).select("c.encoding", "c.band", "c.bin", "c.hash").distinct()
+    counted = strings.groupBy("encoding", "band", "bin").count().collect()
     histogram: dict[tuple[str, int], dict[int, int]] = {}
     for r in counted:
         histogram.setdefault((r["encoding"], r["band"]), {})[r["bin"]] = r["count"]

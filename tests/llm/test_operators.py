@@ -226,6 +226,30 @@ def test_randomness_battery(spark):
     assert sum(r["n"] for r in got if r["i"] < 300) > 250 and sum(r["n"] for r in got if r["i"] >= 300) < 15
 
 
+def test_secret_thresholds_count_strings_once(spark):
+    rng = random.Random(10)
+    letters = secrets.ALPHABETS["base64"]
+    strings = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(1000)]
+    names = list({"".join(rng.choice(WORDS).title() for _ in range(10))[:40] + "Id" for _ in range(1000)})
+    for lowest, highest in ((0.3, 0.4), (0.6, 0.7), (0.9, 1.0)):  # thousands of copies change nothing
+        copied = next(s for s in strings if lowest <= secrets.randomness(s, "base64") < highest)
+        rows = [(i, f"see {s} end") for i, s in enumerate(strings + names + [copied] * 3000)]
+        got = secrets.scan(spark.createDataFrame(rows, "i int, text string"), F.col("text")).select("row.i", F.size("found").alias("n")).collect()
+        assert sum(r["n"] for r in got if r["i"] < 1000) > 900
+        assert sum(r["n"] for r in got if 1000 <= r["i"] < 1000 + len(names)) < 100
+    alone = next(s for s in strings if 0.3 <= secrets.randomness(s, "base64") < 0.4)  # a band of one string
+    for s, n in ((alone, 1), (names[0], 0)):
+        row = spark.createDataFrame([(f"see {s} end",)], "text string")
+        assert secrets.scan(row, F.col("text")).select(F.size("found")).first()[0] == n
+    for size in (5, 30):
+        kept = []
+        for _ in range(100):
+            bins = Counter(min(63, int(secrets.randomness(s, "base64") * 64)) for s in rng.sample(strings, size))
+            least = secrets.thresholds({("base64", 12): bins})["base64", 12]
+            kept.append(sum(n for b, n in bins.items() if b >= least) / size)
+        assert np.mean(kept) > 0.85
+
+
 def all_ways(lattice, text):
     """Every segmentation's log probability."""
     if not text:
