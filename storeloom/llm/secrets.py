@@ -1,7 +1,9 @@
 """Secret scan: fixed patterns, and a battery of randomness tests on long unbroken strings.
 
-For every string of at least MIN_LENGTH characters of the usual encodings, the smallest alphabet that holds it is
-taken as its encoding. Three tests ask whether its symbols could be drawn evenly and independently from that
+Runs of the characters of the usual encodings are split at '=' unless it is padding at the end, so that the value of
+NAME=value is tested by itself. If no alphabet holds a part, it is split at '-' and '_' and, once more, at '+' and '/';
+of strings that lie within each other and are both random the longest is reported. For every string of at least
+MIN_LENGTH characters the smallest alphabet that holds it is taken as its encoding. Three tests ask whether its symbols could be drawn evenly and independently from that
 alphabet: chi-squared uniformity (of symbols and of character classes), the number of runs above and below the
 middle of the alphabet, and serial correlation of neighbours. Fisher's method joins them into one p value, which
 is uniform for a random string and near zero for words or names. How many strings are truly random is estimated from
@@ -41,6 +43,9 @@ KINDS = ("assign", "access", "hex", "random")
 
 MIN_LENGTH = 20
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+PART = re.compile(r"[^=]+(?:=+\Z)?")
+# Alphabets hold the one or the other pair of signs.
+ONE_ALPHABET = (re.compile(r"[^_-]+"), re.compile(r"[^+/]+"))
 BINS = 64
 SPARSE = 500  # distinct strings below which a band gives no estimate of its own
 SPARSE_LEAST = 4  # lowest bin that a sparse band may accept: words and names lie below it
@@ -72,6 +77,18 @@ def encoding_of(text: str) -> str | None:
     return next((name for name in ALPHABETS if used and used <= _SETS[name]), None)
 
 
+def candidates(text: str) -> Iterator[tuple[int, str, str]]:
+    """(start, string, encoding) of the strings to test."""
+    for m in CANDIDATE.finditer(text):
+        for part in PART.finditer(m[0]):
+            at, encoding = m.start() + part.start(), encoding_of(part[0])
+            if encoding is not None:
+                found = [(at, part[0], encoding)]
+            else:
+                found = [(at + x.start(), x[0], encoding_of(x[0])) for signs in ONE_ALPHABET for x in signs.finditer(part[0])]
+            yield from (x for x in found if len(x[1]) >= MIN_LENGTH and x[2] is not None)
+
+
 def _upper_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -149,15 +166,13 @@ def _scan(parts: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
             text = raw.decode("utf-8", "replace")
             base = base_spans(text, raw)
             found = []
-            for m in CANDIDATE.finditer(text):
-                if any(s <= m.start() and m.end() <= e for s, _, e in base):
+            for start, part, encoding in candidates(text):
+                end = start + len(part)
+                if any(s <= start and end <= e for s, _, e in base):
                     continue
-                encoding = encoding_of(m[0])
-                if encoding is not None:
-                    p = randomness(m[0], encoding)
-                    found.append({"start": m.start(), "rank": 3, "end": m.end(), "encoding": encoding,
-                                  "band": _band(m.end() - m.start()), "bin": min(BINS - 1, int(p * BINS)),
-                                  "hash": xxhash.xxh3_64_intdigest(m[0]) - (1 << 63)})
+                p = randomness(part, encoding)
+                found.append({"start": start, "rank": 3, "end": end, "encoding": encoding, "band": _band(len(part)),
+                              "bin": min(BINS - 1, int(p * BINS)), "hash": xxhash.xxh3_64_intdigest(part) - (1 << 63)})
             bases.append([{"start": s, "rank": k, "end": e} for s, k, e in base])
             chances.append(found)
         yield [bases, chances]
@@ -213,7 +228,10 @@ def scan(documents: DataFrame, text: Column, false_share: float = 0.05, keep: tu
         return verdict
 
     random = F.transform(F.filter("chances", is_secret), lambda x: F.struct(x["start"], x["rank"], x["end"]))
-    return scanned.select("row", F.sort_array(F.concat("base", random.cast(T.ArrayType(SPAN)))).alias("found"))
+    judged = scanned.select("row", "base", random.cast(T.ArrayType(SPAN)).alias("random"))
+    outer = F.filter("random", lambda x: ~F.exists("random", lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & (
+        y["end"] - y["start"] > x["end"] - x["start"])))
+    return judged.select("row", F.sort_array(F.concat("base", outer)).alias("found"))
 
 
 def written(spans: Column) -> Column:

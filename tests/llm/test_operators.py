@@ -250,6 +250,30 @@ def test_secret_thresholds_count_strings_once(spark):
         assert np.mean(kept) > 0.85
 
 
+def test_secrets_behind_names(spark):
+    rng = random.Random(11)
+    letters = secrets.ALPHABETS["base64"]
+
+    def value():
+        return "".join(rng.choice(letters) for _ in range(18)) + "+" + "".join(rng.choice(letters) for _ in range(18)) + "/Aa"
+
+    forms = [("AWS_ACCESS=", ""), ("https://host/path?sig=", "&x=1"), ("client_id=a&client_key=", "=="), ("my_name-", ""), ("=", ""),
+             ("A_LONGER_NAME_THAN_TWENTY_LETTERS=", "")]
+    rows = []
+    for i in range(600):
+        before, after = forms[i % len(forms)]
+        s = value()
+        rows.append((i, f"é {before}{s}{after} end", 2 + len(before), 2 + len(before) + len(s) + after.count("==") * 2))
+    docs = spark.createDataFrame(rows, "i int, text string, start int, end int")
+    got = secrets.scan(docs, F.col("text")).select("row.*", "found").collect()
+    hit = [any(s["rank"] == 3 and (s["start"], s["end"]) == (r["start"], r["end"]) for s in r["found"]) for r in got]
+    for k in range(len(forms)):
+        assert np.mean([h for h, r in zip(hit, got, strict=True) if r["i"] % len(forms) == k]) > 0.85
+    text = "x=" + "a" * 30 + "=b " + "C" * 20 + "== /dir/my_file-" + "D" * 25 + " =" + "e" * 19
+    found = {(text[a:a + len(s)], s) for a, s, _ in secrets.candidates(text)}
+    assert {s for _, s in found} == {"a" * 30, "C" * 20 + "==", "D" * 25, "my_file-" + "D" * 25} and all(a == b for a, b in found)
+
+
 def all_ways(lattice, text):
     """Every segmentation's log probability."""
     if not text:
