@@ -467,6 +467,22 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_documents(table(spark, [])).count() == 0
 
 
+def test_line_dedup_of_long_and_unspaced_lines(spark):
+    mixed = " ".join(WORDS[i % 7] if i % 3 else "zz" for i in range(70_000))
+    lines = ["same " * 70_000, mixed, "今日は天気がとてもいいです", "สวัสดีชาวโลกทุกคน"]
+    texts = [(i, line + "\nend") for i, line in enumerate(lines)] + [(i + 10, line + "\nend") for i, line in enumerate(lines)]
+    texts += [(30, "今日\nend"), (31, "今日\nend"), (32, "un mot élégant ici\nend"), (33, "un mot élégant ici\nend")]
+    docs = table(spark, texts)
+    removed = {r["i"]: r["n_removed"] for r in line_dedup.dedup_documents(docs).select(F.col("row.doc_id").alias("i"), "n_removed").collect()}
+    assert removed == {i: int(10 <= i < 20) for i, _ in texts}
+    found = line_dedup.simhashes(line_dedup.occurrences(docs)).collect()
+    words = {w: spark.createDataFrame([(w,)], "w string").select(F.xxhash64("w")).first()[0] for w in {"same", *mixed.split()}}
+    for line in ("same " * 70_000, mixed):
+        n = Counter(line.split())
+        want = sum(1 << k for k in range(64) if sum(c for w, c in n.items() if words[w] >> k & 1) * 2 > 70_000)
+        assert want in {r["simhash"] & (2**64 - 1) for r in found}
+
+
 @pytest.mark.parametrize("similarity", [0.5, 0.75, 0.9, 1.0])
 def test_lengths_within_reach_share_a_band(spark, similarity):
     sizes = spark.range(1, 400).select(F.col("id").cast("int").alias("n"))
