@@ -6,7 +6,9 @@ directions), compares them with each other in the node's task and offers every n
 ``width`` best. Every edge at or above the threshold that is ever seen is kept besides, whatever the lists hold. A node
 whose whole list is at or above the threshold is saturated: its list is enlarged to its whole component, compared in
 blocks, so that no member is missed and no block is larger than BLOCK vectors squared. Recall is audited by comparing
-sampled vectors with all others; below the goal, refining goes on with lists twice as wide.
+sampled vectors with all others, until the sample shows that it is above or below the goal; few links need a large
+sample, at most all vectors. Below the goal, refining goes on with lists twice as wide; after ``rounds`` attempts all
+vectors are compared in blocks instead, which is exact and quadratic.
 
 Cosines are computed in double precision from the vectors as given. Defined cases: null, empty or zero vectors and those
 with null or non-finite components link with nothing; vectors of different length do not link; a null id links like
@@ -16,6 +18,7 @@ any other, and a component of null ids only has a null id. Repeated rows are equ
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +38,7 @@ SIGN_BITS = 24
 REACH = 6
 BLOCK = 1024
 AUDITED = 256
+MOST_AUDITED = 8  # slices of AUDITED vectors in one pass
 GOAL = 0.95
 EDGES = "src long, dst long, sim double"
 
@@ -212,11 +216,30 @@ def _block_links(members: DataFrame, classes: DataFrame, threshold: float) -> Da
             .groupBy("class").agg(F.sum("linked").alias("linked")))
 
 
-def _audit(classes: DataFrame, counts: DataFrame, threshold: float, audited: int) -> float:
-    """Share of the links of sampled classes that are found; the sample goes to all tasks, at most ``audited`` vectors."""
-    queries = classes.orderBy(F.xxhash64("class")).limit(audited).select("class", "unit").toArrow()
-    if not queries.num_rows:
-        return 1.0
+def _all_edges(classes: DataFrame, threshold: float) -> DataFrame:
+    """Every edge at or above the threshold, in both directions; all classes of one length are compared in blocks."""
+    sized = classes.select("class", "unit", F.octet_length("unit").alias("size"))
+    sizes = sized.groupBy("size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = sized.join(sizes, "size").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    spread = placed.select("size", "class", "unit", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = spread.select("size", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class", "unit")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, low, high = (table.column(c).to_numpy() for c in ("class", "low", "high"))
+        units = np.stack(_unpack(table.column("unit").combine_chunks()))
+        left = table.column("block").to_numpy() == low
+        right = left if low[0] == high[0] else ~left
+        sims = units[left] @ units[right].T
+        if right is left:
+            sims = np.triu(sims, 1)
+        a, b = np.nonzero(sims >= threshold)
+        return pa.Table.from_batches([_pairs(ids[left][a], ids[right][b], sims[a, b])])
+
+    return dealt.groupBy("size", "low", "high").applyInArrow(compare, EDGES)
+
+
+def _there(classes: DataFrame, queries: pa.Table, threshold: float) -> DataFrame:
+    """(class, there): true number of links of the asked classes, which go to all tasks."""
     by_size: dict[int, tuple[list[int], list[bytes]]] = {}
     for k, u in zip(queries.column("class").to_pylist(), queries.column("unit").to_pylist(), strict=True):
         ids, units = by_size.setdefault(len(u) // 8, ([], []))
@@ -230,16 +253,44 @@ def _audit(classes: DataFrame, counts: DataFrame, threshold: float, audited: int
             sizes = np.array([len(u) for u in units])
             for dim, (wanted, raw) in shared.value.items():
                 mine = np.flatnonzero(sizes == dim)
-                if len(mine):
-                    asked = np.frombuffer(b"".join(raw), dtype=np.float64).reshape(-1, dim)
-                    linked = (asked @ np.stack([units[i] for i in mine]).T >= threshold) & (
-                        np.array(wanted)[:, None] != ids[mine][None, :])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(wanted, np.int64)), pa.array(linked @ copies[mine])],
-                                                     names=["class", "there"])
-
-    there = classes.mapInArrow(run, "class long, there long").groupBy("class").agg(F.sum("there").alias("there"))
-    sums = there.join(counts, "class", "left").agg(F.sum("there"), F.sum(F.coalesce("linked", F.lit(0)))).first()
-    return 1.0 if not sums[0] else (sums[1] or 0) / sums[0]
+                if not len(mine):
+                    continue
+                there = np.stack([units[i] for i in mine]).T
+                for at in range(0, len(wanted), AUDITED):
+                    asked = np.array(wanted[at:at + AUDITED], np.int64)
+                    vectors = np.frombuffer(b"".join(raw[at:at + AUDITED]), dtype=np.float64).reshape(-1, dim)
+                    linked = (vectors @ there >= threshold) & (asked[:, None] != ids[mine][None, :])
+                    yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(linked @ copies[mine])], names=["class", "there"])
+
+    return classes.mapInArrow(run, "class long, there long").groupBy("class").agg(F.sum("there").alias("there"))
+
+
+def _audit(classes: DataFrame, counts: DataFrame, threshold: float, goal: float) -> tuple[float, bool]:
+    """Share of the links of sampled classes that are found, and whether it is surely at the goal. The sample grows until
+    its 95 % bounds are on one side of the goal or it holds all classes; without any link nothing is missed."""
+    slices = max(1, math.ceil(classes.count() / AUDITED))
+    number = F.pmod(F.xxhash64(F.lit("audit"), F.col("class")), F.lit(slices))
+    moments, done = np.zeros(6), 0
+    while True:
+        upto = min(slices, done + min(MOST_AUDITED, max(1, done)))
+        queries = classes.where((number >= done) & (number < upto)).select("class", "unit").toArrow()
+        done = upto
+        if queries.num_rows:
+            linked = _there(classes, queries, threshold).where("there > 0").join(counts, "class", "left").select(
+                F.col("there").cast("double").alias("t"), F.coalesce("linked", F.lit(0)).cast("double").alias("f"))
+            sums = linked.agg(F.count("*"), *[F.coalesce(F.sum(F.expr(x)), F.lit(0.0)) for x in ("t", "f", "t * t", "t * f", "f * f")]).first()
+            moments += np.array([float(x) for x in sums])
+        n, t, f, tt, tf, ff = moments.tolist()
+        recall = f / t if t else 1.0
+        if done == slices:
+            return recall, recall >= goal
+        if n >= 30:
+            # Spread of the ratio over the sampled classes; where none misses a link, three in n may do so unseen.
+            spread = 1.645 * math.sqrt(max(0.0, ff - 2 * recall * tf + recall * recall * tt)) / t
+            if recall - max(spread, 3 / n) >= goal:
+                return recall, True
+            if recall + spread < goal:
+                return recall, False
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD,
@@ -275,13 +326,20 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                   .join(classes.select(F.col("class").alias("dst"), "copies"), "dst")
                   .groupBy(F.col("src").alias("class")).agg(F.sum("copies").alias("linked")))
         counts = stage(in_blocks.unionByName(narrow), "link-counts")
-        recall = _audit(classes, counts, threshold, AUDITED)
+        recall, reached = _audit(classes, counts, threshold, goal)
         log.info("attempt %d: recall %.4f with lists of %d", attempt + 1, recall, width)
-        if recall >= goal or attempt + 1 == rounds:
+        if reached:
+            return _result(scanned, classes, labels, counts)
+        if attempt + 1 == rounds:
             break
         width *= 2
         more = _first_graph(classes, orders, seed + attempt + 1).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
         found = stage(more.unionByName(edges).unionByName(graph).groupBy("src", "dst").agg(F.max("sim").alias("sim")), "found")
+    log.warning("recall %.4f is below %.4f after %d attempts: comparing all vectors", recall, goal, rounds)
+    edges = stage(_all_edges(classes, threshold), "all-edges")
+    labels = components(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    counts = stage(edges.join(classes.select(F.col("class").alias("dst"), "copies"), "dst")
+                   .groupBy(F.col("src").alias("class")).agg(F.sum("copies").alias("linked")), "link-counts")
     return _result(scanned, classes, labels, counts)
 
 

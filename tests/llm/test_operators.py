@@ -582,6 +582,22 @@ def test_embedding_near_dedup(spark):
     assert nn_descent.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_embedding_recall_is_reached_or_all_are_compared(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    vectors = list(rng.standard_normal((2400, 24)))  # few links: a first slice of the audit may hold none
+    vectors += [v + rng.standard_normal(24) * 0.02 for v in vectors[:60]]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    # A search that starts from nothing finds nothing; the links must come out all the same.
+    first = spark.createDataFrame([], nn_descent.EDGES)
+    monkeypatch.setattr(nn_descent, "_first_graph", lambda *a: first)
+    got = {r["id"]: (r["n_links"], r["component"]) for r in nn_descent.near_duplicates(frame, rounds=1).collect()}
+    units = np.stack(vectors) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    linked = units @ units.T >= 0.95
+    np.fill_diagonal(linked, False)
+    assert linked.sum() >= 120 and all(got[i][0] == linked[i].sum() for i in range(len(vectors)))
+    assert all(got[2400 + k] == (1, k) and got[k] == (1, k) for k in range(60))
+
+
 def test_pipeline_stages_keep_the_columns(spark):
     import corpus_pipeline
 
