@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storeloom.llm import filter_audit
+from storeloom.llm import filter_audit, periodic_runs
 from storeloom.llm.registry import query, table
+from storeloom.llm.words import BLANKS
 
 OP11_SQL = r"""
 WITH w AS (
@@ -57,3 +59,77 @@ FROM counted
 @query("op11_filter_audit", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def with_planted_runs(text: Column, doc_id: Column) -> Column:
+    """Fixed by the output contract: the words of every tenth text (by checksum of the id) repeat from some place on."""
+    checksum = F.crc32(doc_id.cast("string").cast("binary"))
+    seed = F.floor(checksum / 10)
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        begin = seed % n
+        period = 1 + F.floor((n - begin) / (3 + seed % 8))
+        return F.when(n > 0, F.array_join(F.transform(
+            F.sequence(F.lit(0).cast("long"), n - 1),
+            lambda i: F.get(words, F.when(i < begin, i).otherwise(begin + (i - begin) % period).cast("int"))), " ")).otherwise("")
+
+    # The one-element array binds the words, which would be split anew for each of them otherwise.
+    words = F.array(F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), ""))
+    return F.when(checksum % 10 == 0, F.transform(words, repeat)[0]).otherwise(text)
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295], [CAST(ascii(c) AS BIGINT) for c in string_split(CAST(doc_id AS VARCHAR), '')]),
+           lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                    lambda c, z: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))) AS h
+  FROM documents),
+s AS (
+  SELECT r, doc_id, w, h, len(w) AS n, (h // 10) AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t),
+d AS (
+  SELECT r, doc_id, n,
+         CASE WHEN h % 10 = 0 AND n > 0
+              THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] for i in range(n)]
+              ELSE w END AS w
+  FROM s),
+grams AS (
+  SELECT r, i, array_to_string(w[i + 1 : i + 6], ' ') AS gram
+  FROM (SELECT r, w, unnest(range(n - 5)) AS i FROM d WHERE n >= 12)),
+same AS (SELECT x.r, y.i - x.i AS q, x.i FROM grams x JOIN grams y ON x.r = y.r AND x.gram = y.gram AND x.i < y.i),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM same),
+cand AS (
+  SELECT r, q, min(i) AS s, count(*) + 5 + q AS n FROM islands GROUP BY r, q, k HAVING count(*) + 5 + q >= greatest(12, 2 * q)),
+runs AS (
+  SELECT * FROM cand c WHERE NOT EXISTS (
+    SELECT 1 FROM cand o WHERE o.r = c.r AND o.q < c.q AND o.s <= c.s AND o.s + o.n >= c.s + c.n)),
+by_doc AS (
+  SELECT r, count(*) AS n_runs, string_agg(concat(s, ',', n, ',', q, chr(10)), '' ORDER BY s, q) AS listed,
+         min({'n': -n, 's': s, 'q': q}) AS best
+  FROM runs GROUP BY r),
+dropped AS (SELECT DISTINCT r, unnest(range(s + q, s + n)) AS i FROM runs),
+words AS (SELECT r, unnest(range(n)) AS i, unnest(w) AS word FROM d),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start,
+       CAST(-best.n AS BIGINT) AS length, CAST(best.q AS BIGINT) AS period,
+       CAST((-1000 * best.n) // best.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN by_doc USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+@query("op12_periodic_runs", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = with_planted_runs(F.col("text"), F.col("doc_id"))
+    found = periodic_runs.find(table(spark, sf_dir, "documents"), text, keep=("doc_id",))
+    best = found.withColumn("best", periodic_runs.longest(F.col("runs")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return best.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
