@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import filter_audit, periodic_runs
+from storeloom.llm import adaptive_scan, filter_audit, periodic_runs
 from storeloom.llm.registry import query, table
 from storeloom.llm.words import BLANKS
 
@@ -133,3 +133,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op13_nearest_neighbours")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_scan.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
