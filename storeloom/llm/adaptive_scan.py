@@ -308,7 +308,7 @@ def exact_neighbours(assigned: DataFrame, queries: pa.Table, wanted: int) -> Dat
 
 
 def lists_needed(quantizer: Quantizer, queries: pa.Table, truth: pa.Table, goal: float) -> int:
-    """Probes that reach the share ``goal`` of the true neighbours."""
+    """Probes that reach the share ``goal`` of the true neighbours, the query's own row not counted."""
     rank: dict[bytes, dict[int, int]] = {}
     for key, vector in zip(queries.column("key").to_pylist(), queries.column("vector").to_pylist(), strict=True):
         query = np.frombuffer(vector, np.float64)
@@ -316,19 +316,26 @@ def lists_needed(quantizer: Quantizer, queries: pa.Table, truth: pa.Table, goal:
         order = np.empty(len(far), np.int64)
         order[np.argsort(far, kind="stable")] = np.arange(len(far))
         rank[key] = dict(enumerate(order.tolist(), quantizer.first[len(query)]))
-    places = sorted(rank[k][x] for k, x in zip(truth.column("key").to_pylist(), truth.column("list").to_pylist(), strict=True))
+    places, own = [], set()
+    for key, distance, held in zip(*[truth.column(c).to_pylist() for c in ("key", "distance", "list")], strict=True):
+        if distance == 0 and key not in own:
+            own.add(key)
+        else:
+            places.append(rank[key][held])
+    places.sort()
     return places[min(len(places) - 1, int(goal * len(places)))] + 1 if places else 1
 
 
 def recall_of(truth: pa.Table, found: pa.Table) -> float:
-    """Share of the true neighbours among the rows found; a row as near as the farthest true one counts."""
+    """Share of the true neighbours among the rows found, without the query's own; a row as near as the farthest true one
+    counts."""
     farthest, number = {}, {}
     for key, distance in zip(truth.column("key").to_pylist(), truth.column("distance").to_pylist(), strict=True):
         farthest[key] = max(farthest.get(key, 0.0), distance)
         number[key] = number.get(key, 0) + 1
-    hit = sum(min(number[key], sum(r["distance"] <= farthest[key] * (1 + 1e-12) for r in rows))
+    hit = sum(min(number[key], sum(r["distance"] <= farthest[key] * (1 + 1e-12) for r in rows)) - 1
               for key, rows in zip(found.column("key").to_pylist(), found.column("nearest").to_pylist(), strict=True))
-    return hit / max(1, sum(number.values()))
+    return hit / sum(n - 1 for n in number.values()) if any(n > 1 for n in number.values()) else 1.0
 
 
 def _search(index: DataFrame, asked: DataFrame, quantizer: Quantizer, probes: int, wanted: int, confidence: float) -> DataFrame:
