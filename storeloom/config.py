@@ -41,6 +41,7 @@ class QualityThresholds:
     email_validity: float = 0.90
     orphaned_share: float = 0.05
     anomalous_share: float = 0.01
+    rejected_share: float = 0.05
 
 
 DEFAULT_RULES = Rules()

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.config import DEFAULT_RULES, Rules
+from storeloom.config import DEFAULT_RULES, DEFAULT_THRESHOLDS, QualityThresholds, Rules
 from storeloom.operators import quality
 from storeloom.plans import customers, products, sales, star
 from storeloom.sinks.tables import replace_partitions, write_analytics, write_table
@@ -39,15 +39,22 @@ def raw_tables(spark: SparkSession, raw: str, run_time: datetime, fmt: str = "pa
             for name in ENTITIES}
 
 
-def gate(raw: dict[str, DataFrame], suites: dict[str, tuple] | None = None) -> None:
-    """Run the suites and raise on the first entity with an error-level failure."""
+def gate(raw: dict[str, DataFrame], suites: dict[str, tuple] | None = None,
+         thresholds: QualityThresholds = DEFAULT_THRESHOLDS) -> None:
+    """Run the suites over the lines that could be read and raise on the first entity with an error-level failure.
+
+    Unreadable lines go to the reject tables, so they fail no other check; too large a share of them is a failure of its own.
+    """
     suites = suites or {
         "customers": (*quality.CUSTOMER_SUITE, quality.email_format()),
         "transactions": quality.TRANSACTION_SUITE,
         "calendar": quality.CALENDAR_SUITE,
     }
     for name, checks in suites.items():
-        quality.enforce(quality.evaluate(raw[name], checks))
+        if files.CORRUPT_COLUMN in raw[name].columns:
+            quality.enforce(quality.evaluate(raw[name].withColumn("readable", F.when(F.col(files.CORRUPT_COLUMN).isNull(), True)),
+                                             (quality.not_null("readable", min_ratio=1 - thresholds.rejected_share),)))
+        quality.enforce(quality.evaluate(files.good_lines(raw[name]), checks))
 
 
 def model(raw: dict[str, DataFrame], processed: str, run_time: datetime, rules: Rules = DEFAULT_RULES,
@@ -94,11 +101,11 @@ def analyse(spark: SparkSession, processed: str, run_time: datetime, rules: Rule
 
 def refresh(spark: SparkSession, landing: str, raw: str, processed: str, run_time: datetime,
             rules: Rules = DEFAULT_RULES, suites: dict[str, tuple] | None = None,
-            fmt: str = "parquet") -> dict[str, int]:
+            fmt: str = "parquet", thresholds: QualityThresholds = DEFAULT_THRESHOLDS) -> dict[str, int]:
     """One full run. The gate stands between the raw and the processed zone."""
     rows = ingest(spark, landing, raw, run_time, fmt)
     tables = raw_tables(spark, raw, run_time, fmt)
-    gate(tables, suites)
+    gate(tables, suites, thresholds)
     rows |= model(tables, processed, run_time, rules, fmt)
     rows |= analyse(spark, processed, run_time, rules, fmt)
     return rows

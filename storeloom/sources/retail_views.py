@@ -13,6 +13,7 @@ for the part look-up at most.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -160,22 +161,25 @@ def repeated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [filed, again])
 
 
-def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fiscal calendar of the order days: 52 weeks a year in a 4-5-4 month pattern.
+# A calendar that starts here leaves the first orders without a fiscal day.
+LATE_START = date(1995, 12, 31)
 
-    It starts on 1995-12-31, after the first orders, so those have no fiscal day.
-    """
+
+def calendar(spark: SparkSession, sf_dir: str, first_day: date | None = None) -> DataFrame:
+    """Fiscal calendar of all order days, or of those from ``first_day`` on: 52 weeks a year in a 4-5-4 month pattern,
+    counted from 1995-12-31 in both directions."""
     day = F.col("CALENDAR_DATE")
     week, quarter, month = F.col("FISCAL_WEEK_OF_YEAR"), F.col("FISCAL_QUARTER"), F.col("FISCAL_MONTH_NUMBER")
     week_in_quarter = week - (quarter - 1) * 13
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate").isNotNull())
+    if first_day is not None:
+        orders = orders.filter(F.col("o_orderdate") >= F.lit(str(first_day)).cast("timestamp_ntz"))
     return (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderdate") >= F.lit("1995-12-31").cast("timestamp_ntz"))
-        .select(F.to_date("o_orderdate").alias("CALENDAR_DATE")).distinct()
+        orders.select(F.to_date("o_orderdate").alias("CALENDAR_DATE")).distinct()
         .withColumn("index", F.datediff(day, F.lit("1995-12-31").cast("date")))
         .withColumns({
             "FISCAL_YEAR": (1996 + F.floor(F.col("index") / 364)).cast("int"),
-            "FISCAL_WEEK_OF_YEAR": (F.floor((F.col("index") % 364) / 7) + 1).cast("int"),
+            "FISCAL_WEEK_OF_YEAR": (F.floor(F.pmod("index", F.lit(364)) / 7) + 1).cast("int"),
         })
         .withColumn("FISCAL_QUARTER", (F.floor((week - 1) / 13) + 1).cast("int"))
         .withColumn("FISCAL_MONTH_NUMBER", ((quarter - 1) * 3

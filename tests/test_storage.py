@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
 
 from storeloom import schemas, scratch
+from storeloom.config import QualityThresholds
 from storeloom.operators import quality
 from storeloom.plans import refresh
 from storeloom.sinks import tables, warehouse
@@ -196,6 +197,20 @@ def test_full_refresh(spark, tmp_path, landing):
     assert again == rows  # a rerun of the day replaces itself
 
 
+def test_unreadable_lines_do_not_fail_the_gate(spark, tmp_path, landing):
+    zone = _landing_zone(tmp_path, landing)
+    file = tmp_path / "transactions" / "t.csv"
+    bad = file.read_text().splitlines()[1].replace("100,", "ten,", 1)
+    file.write_text(file.read_text() + bad + "\n")
+    processed = str(tmp_path / "processed")
+    rows = refresh.refresh(spark, zone, str(tmp_path / "raw"), processed, RUN, suites=small_suites())
+    assert (rows["transactions"], rows["fact_transactions"], rows["rejected_transactions"]) == (25, 24, 1)
+    assert [r["line"] for r in read_table(spark, f"{processed}/rejected_transactions").collect()] == [bad]
+    strict = QualityThresholds(rejected_share=0.01)
+    with pytest.raises(quality.QualityError, match="readable"):
+        refresh.refresh(spark, zone, str(tmp_path / "raw2"), processed, RUN, suites=small_suites(), thresholds=strict)
+
+
 def test_gate_stops_the_refresh(spark, tmp_path, landing):
     zone = _landing_zone(tmp_path, landing)
     processed = tmp_path / "processed"

@@ -176,10 +176,10 @@ def refund_analysis(spark, d):
     SELECT FISCAL_YEAR, FISCAL_QUARTER, FISCAL_MONTH_NAME, CAST(sum(net_amount) AS DOUBLE) AS fiscal_sales,
            count(order_number) AS fiscal_orders,
            CAST(sum(net_amount) AS DOUBLE) / count(net_amount) AS fiscal_avg_order
-    FROM fact LEFT JOIN calendar ON strftime(order_date, '%Y-%m-%d') = CAST(CALENDAR_DATE AS VARCHAR)
+    FROM fact LEFT JOIN late_calendar ON strftime(order_date, '%Y-%m-%d') = CAST(CALENDAR_DATE AS VARCHAR)
     WHERE transaction_type = 'SALE' GROUP BY ALL""")
 def fiscal_aggregations(spark, d):
-    return doubles(sales.fiscal_aggregations(fact(spark, d, [*SALE, "order_date"]), views.calendar(spark, d)))
+    return doubles(sales.fiscal_aggregations(fact(spark, d, [*SALE, "order_date"]), views.calendar(spark, d, views.LATE_START)))
 
 
 @query("anl_17_segment_counts", """

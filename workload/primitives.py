@@ -165,16 +165,16 @@ def boolean_column(spark, d):
 
 @query("jn_2_join_calendar", """
     SELECT order_number, order_date, FISCAL_YEAR, FISCAL_QUARTER FROM fact
-    LEFT JOIN calendar ON order_date = CALENDAR_DATE""")
+    LEFT JOIN late_calendar ON order_date = CALENDAR_DATE""")
 def join_calendar(spark, d):
-    days = views.calendar(spark, d).select("CALENDAR_DATE", "FISCAL_YEAR", "FISCAL_QUARTER")
+    days = views.calendar(spark, d, views.LATE_START).select("CALENDAR_DATE", "FISCAL_YEAR", "FISCAL_QUARTER")
     return joins.with_fiscal_day(fact(spark, d, ["order_number", "order_date"]), days).drop("CALENDAR_DATE")
 
 
 @query("jn_3_semi_and_anti", """
-    SELECT order_number, order_date, order_date IN (SELECT CALENDAR_DATE FROM calendar) AS has_day FROM fact""")
+    SELECT order_number, order_date, order_date IN (SELECT CALENDAR_DATE FROM late_calendar) AS has_day FROM fact""")
 def semi_and_anti(spark, d):
-    rows, days = fact(spark, d, ["order_number", "order_date"]), views.calendar(spark, d)
+    rows, days = fact(spark, d, ["order_number", "order_date"]), views.calendar(spark, d, views.LATE_START)
     key, dim_key = F.col("order_date"), F.col("CALENDAR_DATE")
     return union_by_name([joins.matched(rows, key, days, dim_key).withColumn("has_day", F.lit(True)),
                           joins.orphans(rows, key, days, dim_key).withColumn("has_day", F.lit(False))])

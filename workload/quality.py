@@ -124,7 +124,7 @@ def suites(spark, d):
 
 @query("dq_8_referential_integrity", """
     WITH days AS (SELECT CAST(count(*) FILTER (WHERE CALENDAR_DATE IS NULL) AS DOUBLE) / count(*) AS share
-                  FROM fact LEFT JOIN calendar ON order_date = CALENDAR_DATE),
+                  FROM fact LEFT JOIN late_calendar ON order_date = CALENDAR_DATE),
     codes AS (SELECT CAST(count(*) FILTER (WHERE k IS NULL) AS DOUBLE) / count(*) AS share
               FROM fact LEFT JOIN (SELECT DISTINCT product_code AS k FROM families) p ON product_code = k)
     SELECT 'order_date_in_CALENDAR_DATE' AS "check", share, CAST(0.05 AS DOUBLE) AS "limit",
@@ -136,7 +136,7 @@ def referential_integrity(spark, d):
     limit = DEFAULT_THRESHOLDS.orphaned_share
     dim = star.dim_product(views.transactions(spark, d, ["PRODUCTCODE"]))
     return union_by_name([
-        dq.referential_integrity(fact(spark, d, ["order_date"]), "order_date", views.calendar(spark, d),
+        dq.referential_integrity(fact(spark, d, ["order_date"]), "order_date", views.calendar(spark, d, views.LATE_START),
                                  "CALENDAR_DATE", limit),
         dq.referential_integrity(fact(spark, d, ["product_code"]), "product_code", dim, "product_key", limit)])
 

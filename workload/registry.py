@@ -153,10 +153,11 @@ SQL_VIEWS = {
                          CAST(((q-1)*3 + CASE WHEN w-(q-1)*13 <= 4 THEN 0 WHEN w-(q-1)*13 <= 9 THEN 1
                                ELSE 2 END)*3 + 1 AS INTEGER), 3) AS FISCAL_MONTH_NAME
         FROM (SELECT d, i, w, CAST(floor((w-1)/13.0) AS INTEGER) + 1 AS q
-              FROM (SELECT d, i, CAST(floor((i % 364)/7.0) AS INTEGER) + 1 AS w
+              FROM (SELECT d, i, CAST(floor(((i % 364 + 364) % 364)/7.0) AS INTEGER) + 1 AS w
                     FROM (SELECT d, datediff('day', DATE '1995-12-31', d) AS i
                           FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
-                                WHERE o_orderdate >= TIMESTAMP '1995-12-31 00:00:00') a) b) c) e""",
+                                WHERE o_orderdate IS NOT NULL) a) b) c) e""",
+    "late_calendar": "SELECT * FROM calendar WHERE CALENDAR_DATE >= DATE '1995-12-31'",
     "families": """
         SELECT *, CASE WHEN instr(product_code, '_') > 0 THEN split_part(product_code, '_', 1)
                        ELSE 'UNKNOWN' END AS product_family FROM fact""",
@@ -191,7 +192,7 @@ def with_views(sql: str) -> str:
     for name in reversed(SQL_VIEWS):
         if re.search(rf"\b{name}\b", text):
             needed.add(name)
-            text += SQL_VIEWS[name]
+            text += "\n" + SQL_VIEWS[name]
     ctes = [f"{name} AS ({body})" for name, body in SQL_VIEWS.items() if name in needed]
     body = sql.strip()
     if body[:5].upper() == "WITH ":
