@@ -9,6 +9,7 @@ from storeloom.config import DEFAULT_RULES, Rules
 from storeloom.functions.money import average, percent_of, total
 from storeloom.functions.text import product_family
 from storeloom.operators.order_statistics import rank_within
+from storeloom.operators.pairs import frequent_pairs
 from storeloom.operators.periods import sales_only
 from storeloom.operators.ranking import top_overall, top_per_group
 from storeloom.scratch import stage
@@ -75,6 +76,15 @@ def with_category(products: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     return products.withColumn("product_category", F.try_element_at(F.create_map(*pairs), F.col("product_family")))
 
 
+def cross_sell_pairs(fact: DataFrame, min_orders: int) -> DataFrame:
+    """Every pair of products that at least ``min_orders`` orders hold together, with the orders of each product."""
+    found = frequent_pairs(sales_only(fact).select("order_number", "product_code"), min_orders, "order_number", "product_code")
+    return found.select(
+        F.col("first").alias("product_code"), F.col("second").alias("other_product_code"), F.col("together").alias("orders_together"),
+        F.col("first_baskets").alias("orders"), F.col("second_baskets").alias("other_orders"),
+        F.col("share_of_first").alias("share_of_orders"), F.col("share_of_second").alias("share_of_other_orders"))
+
+
 def most_ordered(fact: DataFrame, k: int) -> DataFrame:
     """The ``k`` products in most orders, as (product_code)."""
     orders = sales_only(fact).select("order_number", "product_code").distinct()
