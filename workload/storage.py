@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from storeloom import schemas
 from storeloom.plans import customers, products, sales, star
 from storeloom.scratch import scratch_dir
-from storeloom.sinks import tables, warehouse
+from storeloom.sinks import catalog, tables, warehouse
 from storeloom.sources import files
 from storeloom.sources import retail_views as views
 from storeloom.sources.tables import read_table
@@ -242,6 +242,54 @@ def observed_row_counts(spark, d) -> DataFrame:
                                  "table_name string, rows bigint")
 
 
+# Typed tables of the catalogue.
+
+def _new_database(spark) -> tuple[str, str]:
+    place = scratch_dir(spark, "warehouse")
+    return f"storeloom_{place[-32:]}", place
+
+
+@query("snk_6_create_if_missing", """
+    SELECT product_code AS product_key, product_family, 'varchar(100)' AS line_type,
+           CASE WHEN product_code LIKE '%7' THEN 'rejected' ELSE 'stored' END AS state,
+           CASE WHEN product_code LIKE '%7' THEN 'product_line' END AS misfits,
+           CAST(5 AS BIGINT) AS tables_created, CAST(0 AS BIGINT) AS created_again
+    FROM (SELECT DISTINCT product_code, product_family FROM families) p""")
+def create_if_missing(spark, d):
+    """The warehouse tables are created once and filled twice; the second load replaces the first, and the lines of
+    some of its products are longer than their column."""
+    database, place = _new_database(spark)
+    created = catalog.create_missing(spark, schemas.WAREHOUSE, database, place)
+    dim = star.dim_product(views.transactions(spark, d, ["PRODUCTCODE"]), RUN_TIME)
+    table, target = f"{database}.dim_product", schemas.WAREHOUSE["dim_product"]
+    catalog.fill_table(dim, table, target)
+    again = catalog.create_missing(spark, schemas.WAREHOUSE, database, place)
+    long = F.when(F.col("product_key").like("%7"), F.repeat(F.lit("line "), 21)).otherwise(F.col("product_line"))
+    _, rejects = catalog.fill_table(dim.withColumn("product_line", long), table, target)
+    kept = spark.table(table).select("product_key", "product_family", F.lit("stored").alias("state"), F.lit(None).cast("string").alias("misfits"))
+    refused = rejects.select("product_key", "product_family", F.lit("rejected").alias("state"), F.array_join("misfits", ",").alias("misfits"))
+    return kept.unionByName(refused).select(
+        "product_key", "product_family", F.lit(catalog.declared_types(spark, table)["product_line"]).alias("line_type"), "state",
+        "misfits", F.lit(len(created)).cast("long").alias("tables_created"), F.lit(len(again)).cast("long").alias("created_again"))
+
+
+@query("snk_7_refresh_load", """
+    SELECT customer_name, CAST(CAST(total_spent AS DECIMAL(12,2)) AS DOUBLE) AS total_spent,
+           CAST(total_orders AS INTEGER) AS total_orders, last_order_date,
+           CASE WHEN total_spent >= 10000 THEN 'High Value' ELSE 'Regular' END AS customer_segment,
+           'decimal(12,2)' AS spent_type
+    FROM spend""")
+def refresh_load(spark, d):
+    """The full-refresh load run to its end, twice: the stored rows of the segments."""
+    database, place = _new_database(spark)
+    segments = customers.customer_segments(fact(spark, d, [*SALE, "customer_name", "order_date"]))
+    for frame in (segments.filter("total_orders > 100"), segments):
+        catalog.load_tables({"customer_segments": frame}, schemas.WAREHOUSE, database, place)
+    table = f"{database}.customer_segments"
+    return doubles(spark.table(table).drop("created_date", "avg_order_value")).withColumn(
+        "spent_type", F.lit(catalog.declared_types(spark, table)["total_spent"]))
+
+
 # Warehouse rows: what a load would insert. The insert itself needs a database.
 
 @query("snk_7_refresh_rows", """
