@@ -28,8 +28,12 @@ def ingest(spark: SparkSession, landing: str, raw: str, run_time: datetime, fmt:
         "transactions": files.raw_transactions(spark, f"{landing}/transactions", run_time),
         "calendar": files.raw_calendar(spark, f"{landing}/calendar", run_time),
     }
-    return {name: replace_partitions(files.with_partition_day(df), f"{raw}/{name}", ["partition_date"], fmt)
+    rows = {name: replace_partitions(files.with_partition_day(df), f"{raw}/{name}", ["partition_date"], fmt)
             for name, df in frames.items()}
+    # The whole partition is written, so the rejects of an earlier run of the day go even if there are none now.
+    rejects = files.rejected_customers(spark, f"{landing}/customers", run_time)
+    rows["rejected_customers"] = write_table(rejects, f"{raw}/rejected_customers/partition_date={run_time.date()}", fmt)
+    return rows
 
 
 def raw_tables(spark: SparkSession, raw: str, run_time: datetime, fmt: str = "parquet") -> dict[str, DataFrame]:

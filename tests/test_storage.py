@@ -53,6 +53,51 @@ def test_drifting_headers_land_in_the_right_column(spark, landing):
     assert out["Dee"]["source_file"].endswith("uk.csv") and out["Dee"]["ingestion_date"] == RUN
 
 
+def test_ten_thousand_small_files(spark, tmp_path):
+    heads = ["id,zip", "id,postal,state", "id,province,zip"]
+    for i in range(10_000):
+        folder = tmp_path / str(i % 100)
+        folder.mkdir(exist_ok=True)
+        (folder / f"{i}.csv").write_text(f"{heads[i % 3]}\n{i},a,b\n" if i % 3 else f"{heads[0]}\n{i},a\n")
+    groups = files.files_by_header(spark, str(tmp_path))
+    assert {",".join(h): len(p) for h, p in groups.items()} == {heads[0]: 3334, heads[1]: 3333, heads[2]: 3333}
+    got = files.read_drifting(spark, str(tmp_path), files.CUSTOMER_HEADERS, RUN)
+    out = got.groupBy((F.col("id").cast("int") % 3).alias("kind"), "postal_code", "state").count().collect()
+    assert {tuple(r) for r in out} == {(0, "a", None, 3334), (1, "a", "b", 3333), (2, "b", "a", 3333)}
+
+
+@pytest.mark.parametrize("most_tasks", [None, "2"])
+def test_first_lines_of_split_files(spark, tmp_path, monkeypatch, most_tasks):
+    """Files of many splits beside small, empty and blank ones."""
+    for i in range(5):
+        (tmp_path / f"large{i}.csv").write_text(f"head{i},b\n" + "1,2\n" * 60_000)
+        (tmp_path / f"small{i}.csv").write_text(f"tiny{i}\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank.csv").write_text("\nx,y\n")
+    for key, value in (("spark.sql.files.maxPartitionBytes", "50000"), ("spark.sql.files.openCostInBytes", "100"),
+                       ("spark.sql.files.maxPartitionNum", most_tasks)):
+        if value is not None:
+            spark.conf.set(key, value)
+    try:
+        got = {r["source_file"].rsplit("/", 1)[1]: r["line"] for r in files.first_lines(spark, str(tmp_path)).collect()}
+    finally:
+        for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionNum"):
+            spark.conf.unset(key)
+    assert got == {**{f"large{i}.csv": f"head{i},b" for i in range(5)}, **{f"small{i}.csv": f"tiny{i}" for i in range(5)}, "blank.csv": ""}
+    assert sorted(h[0] for h in files.files_by_header(spark, str(tmp_path))) == sorted([f"head{i}" for i in range(5)] + [f"tiny{i}" for i in range(5)])
+
+
+def test_surplus_fields_are_rejected(spark, tmp_path):
+    lines = ["u1,NV,", 'u2,"a, b",', "u3,NV", "u4", "u5,NV,,", 'u6,"x,""y"", z",1,more', "u7,NV,5,,x", r'u8,"q \" , w",2', ""]
+    (tmp_path / "c.csv").write_text("\n".join(["first_name,state,zip", *lines]) + "\n")
+    got = files.drifted_customers(spark, str(tmp_path), RUN).collect()
+    kept = {r["first_name"]: r["state"] for r in got if r[files.CORRUPT_COLUMN] is None}
+    assert set(kept) == {"u1", "u2", "u3", "u4", "u8"} and kept["u2"] == "a, b" and kept["u4"] is None
+    rejected = files.rejected_customers(spark, str(tmp_path), RUN)
+    assert sorted(r["line"] for r in rejected.collect()) == sorted([lines[4], lines[5], lines[6]])
+    assert files.clean_customers(spark, str(tmp_path), RUN).count() == 5
+
+
 def test_customers_are_deduplicated_across_files(spark, landing):
     out = files.clean_customers(spark, landing, RUN)
     ids = sorted(r["customer_id"] for r in out.collect())
@@ -63,7 +108,7 @@ def test_customers_are_deduplicated_across_files(spark, landing):
 
 def test_file_names_are_not_patterns(spark, landing):
     from pathlib import Path
-    (Path(landing) / "us [1] {a}.csv").write_text(HEADERS["us"] + "\nGil,Orr,Orr,7 St,Reno,,NV,00126,1,2,gil@b.co,w\n")
+    (Path(landing) / "us [1] {a} +%20é.csv").write_text(HEADERS["us"] + "\nGil,Orr,Orr,7 St,Reno,,NV,00126,1,2,gil@b.co,w\n")
     out = files.read_drifting(spark, landing, files.CUSTOMER_HEADERS, RUN)
     assert sorted(r["first_name"] for r in out.collect()) == ["ANN", "Ann", "Bob", "Cid", "Dee", "Eve", "Gil"]
 
@@ -195,6 +240,14 @@ def test_full_refresh(spark, tmp_path, landing):
     assert fact.agg(F.min("order_date")).first()[0] == date(2020, 1, 7)
     again = refresh.refresh(spark, zone, raw, processed, RUN, suites=small_suites())
     assert again == rows  # a rerun of the day replaces itself
+    file = tmp_path / "customers" / "us.csv"
+    whole = file.read_text()
+    file.write_text(whole + "Hal,Kay,Kay,8 St,Reno,,NV,00127,1,2,hal@b.co,w,surplus\n")
+    assert refresh.ingest(spark, zone, raw, RUN)["rejected_customers"] == 1
+    assert read_table(spark, f"{raw}/rejected_customers").first()["line"].startswith("Hal")
+    file.write_text(whole)
+    assert refresh.ingest(spark, zone, raw, RUN)["rejected_customers"] == 0
+    assert spark.read.schema("line string").parquet(f"{raw}/rejected_customers").count() == 0
 
 
 def test_unreadable_lines_do_not_fail_the_gate(spark, tmp_path, landing):
