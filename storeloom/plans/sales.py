@@ -12,7 +12,7 @@ from storeloom.functions.dates import day_text, periods
 from storeloom.functions.money import REFUND, SALE, average, refund_split, total
 from storeloom.functions.text import product_family
 from storeloom.operators.joins import with_fiscal_day
-from storeloom.operators.order_statistics import percentile_struct, tier
+from storeloom.operators.order_statistics import percentile_struct_of_few, tier
 from storeloom.operators.periods import refunds_by_period, sales_by_period, sales_measures, sales_only
 from storeloom.scratch import stage
 
@@ -71,9 +71,14 @@ def daily_insights(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         *sales_measures(fact, "daily_sales", "daily_orders", "daily_avg_order"),
         F.count_distinct("customer_name").alias("unique_customers"),
         F.count_distinct("product_code").alias("unique_products"))
-    staged = stage(days.select(day_text(F.col("order_date")).alias("order_date_str"), *days.columns[1:]),
-                   "daily_metrics")
-    cuts = percentile_struct(staged, "daily_sales", rules.lower_percentile, rules.upper_percentile)
+    return with_sales_category(days, rules)
+
+
+def with_sales_category(days: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The days with their date as text and a category by the percentiles of their sales."""
+    staged = stage(days.select(day_text(F.col("order_date")).alias("order_date_str"),
+                               *[c for c in days.columns if c != "order_date"]), "daily_metrics")
+    cuts = percentile_struct_of_few(staged, "daily_sales", rules.lower_percentile, rules.upper_percentile)
     return staged.withColumn("sales_category", tier(F.col("daily_sales"), cuts, DAY_LABELS))
 
 

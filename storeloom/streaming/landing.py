@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storeloom.config import DEFAULT_RULES, Rules
+from storeloom.functions.money import SALE, average
+from storeloom.plans.sales import with_sales_category
+from storeloom.streaming.generations import Store, merge_batches, read, set_store, sums_store, write_batch
+
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                    files_per_batch: int = 1000, glob: str | None = None) -> DataFrame:
@@ -59,25 +64,68 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
      .start().awaitTermination())
 
 
-def run_daily_partials(fact: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep partial daily sums up to date.
+DAILY_KEYS = ["order_date", "transaction_type"]
+DAILY_SUMS = T.StructType([
+    T.StructField("order_date", T.DateType()), T.StructField("transaction_type", T.StringType()),
+    T.StructField("net_amount", T.DecimalType(38, 4)), T.StructField("restocking_fee", T.DecimalType(38, 4)),
+    T.StructField("lines", T.LongType()), T.StructField("orders", T.LongType()), T.StructField("amounts", T.LongType())])
+# Whom and what was sold on a day: the sets behind the distinct counts.
+DAILY_MEMBERS = T.StructType([
+    T.StructField("order_date", T.DateType()), T.StructField("transaction_type", T.StringType()),
+    T.StructField("kind", T.StringType()), T.StructField("member", T.StringType())])
+MEMBERS = {"customer": "customer_name", "product": "product_code"}
+MERGE_EVERY = 10
+
+
+def daily_sums(path: str) -> Store:
+    return sums_store(f"{path.rstrip('/')}/sums", DAILY_SUMS, DAILY_KEYS)
+
 
-    A batch writes its own ``batch_id`` partition; a retried batch replaces it.
-    Late lines need no watermark: they add to their day whenever they come.
+def daily_members(path: str) -> Store:
+    return set_store(f"{path.rstrip('/')}/members", DAILY_MEMBERS)
+
+
+def run_daily_partials(fact: DataFrame, path: str, checkpoint: str, merge_every: int = MERGE_EVERY) -> None:
+    """Keep partial daily sums, and the distinct customers and products of each day, up to date.
+
+    A batch writes its own partial aggregates; a retried batch replaces them. Late lines need no watermark: they add to
+    their day whenever they come. Every ``merge_every`` batches the partials are merged into one generation, so the
+    files to read stay as few as the days (and members) need, however many batches there were.
     """
+    sums, members = daily_sums(path), daily_members(path)
+    held = [(kind, column) for kind, column in MEMBERS.items() if column in fact.columns]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        sums = batch.groupBy("order_date", "transaction_type").agg(
-            F.sum("net_amount").alias("net_amount"), F.sum("restocking_fee").alias("restocking_fee"),
-            F.count(F.lit(1)).alias("lines"))
-        (sums.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+        batch.persist()
+        write_batch(sums, batch.groupBy(*DAILY_KEYS).agg(
+            F.sum("net_amount").alias("net_amount"), F.sum("restocking_fee").alias("restocking_fee"), F.count(F.lit(1)).alias("lines"),
+            (F.count("order_number") if "order_number" in batch.columns else F.count(F.lit(1))).alias("orders"),
+            F.count("net_amount").alias("amounts")), batch_id)
+        if held:
+            pairs = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(column).alias("member")) for kind, column in held]))
+            named = batch.select(*DAILY_KEYS, pairs.alias("m")).select(*DAILY_KEYS, "m.kind", "m.member")
+            write_batch(members, named.filter(F.col("member").isNotNull()), batch_id)
+        batch.unpersist()
+        if (batch_id + 1) % merge_every == 0:
+            merge_batches(batch.sparkSession, sums)
+            merge_batches(batch.sparkSession, members)
 
     run_batches(fact, write, checkpoint)
 
 
 def daily_totals(spark: SparkSession, path: str) -> DataFrame:
-    """Daily sums merged from all partials, at the scale the batches wrote; equal to the batch aggregate of all lines."""
-    return spark.read.parquet(path).groupBy("order_date", "transaction_type").agg(
-        F.sum("net_amount").alias("net_amount"), F.sum("restocking_fee").alias("restocking_fee"),
-        F.sum("lines").alias("lines"))
+    """Daily sums merged from all partials; equal to the batch aggregate of all lines."""
+    return read(spark, daily_sums(path)).select(*DAILY_KEYS, "net_amount", "restocking_fee", "lines")
+
+
+def daily_insights(spark: SparkSession, path: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The daily insights of all lines that have arrived, from the merged partials alone: equal to ``sales.daily_insights``
+    over the whole fact."""
+    is_sale = F.col("transaction_type") == SALE
+    days = read(spark, daily_sums(path)).filter(is_sale).select(
+        "order_date", F.col("net_amount").alias("daily_sales"), F.col("orders").alias("daily_orders"),
+        average(F.col("net_amount"), F.col("amounts")).alias("daily_avg_order"))
+    counted = read(spark, daily_members(path)).filter(is_sale).groupBy(F.col("order_date").alias("day")).agg(
+        F.count_if(F.col("kind") == "customer").alias("unique_customers"), F.count_if(F.col("kind") == "product").alias("unique_products"))
+    joined = days.join(counted, F.col("order_date").eqNullSafe(F.col("day")), "left").drop("day")
+    return with_sales_category(joined.fillna(0, ["unique_customers", "unique_products"]), rules)

@@ -1,10 +1,14 @@
 from datetime import datetime
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storeloom import schemas
-from storeloom.plans import star
-from storeloom.streaming import landing
+from storeloom.plans import sales, star
+from storeloom.sources import files
+from storeloom.streaming import generations, landing
 
 HEAD = ",".join(schemas.TRANSACTIONS.names)
 
@@ -53,6 +57,69 @@ def test_retried_batch_replaces_itself(spark, tmp_path):
     assert totals(spark, out) == {("2020-01-02", "SALE"): (6.0, 2)}
 
 
+SUMS = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("m", T.DecimalType(38, 2))])
+
+
+def state(spark, store):
+    return {tuple(r) for r in generations.read(spark, store).collect()}
+
+
+def test_generations(spark, tmp_path, monkeypatch):
+    store = generations.sums_store(str(tmp_path / "sums"), SUMS, ["k"])
+    assert state(spark, store) == set() and generations.merge_batches(spark, store) == 0
+
+    def batch(number, *rows):
+        generations.write_batch(store, spark.createDataFrame(rows, "k string, n int, m decimal(9,2)"), number)
+
+    batch(0, ("a", 1, Decimal(2)), ("a", 1, None), (None, 5, None))
+    batch(1, ("a", 1, Decimal(1)))
+    want = {("a", 3, Decimal(3)), (None, 5, None)}
+    assert state(spark, store) == want
+    assert generations.merge_batches(spark, store) == 2 and state(spark, store) == want
+    batch(1, ("a", 1, Decimal(1)))  # retried after the merge: already part of it
+    assert state(spark, store) == want and generations.merge_batches(spark, store) == 0
+    batch(2, ("b", 1, Decimal(1)))
+    # A job lost before the marker is written leaves the old state; one lost before the clean-up the new one.
+    with monkeypatch.context() as lost:
+        lost.setattr(generations, "COMMIT", None)
+        with pytest.raises(Exception):
+            generations.merge_batches(spark, store)
+    want = want | {("b", 1, Decimal(1))}
+    assert state(spark, store) == want and [c[0] for c in generations.commits(spark, store)] == [1]
+    with monkeypatch.context() as lost:
+        lost.setattr(generations, "clean", lambda *_: None)
+        assert generations.merge_batches(spark, store) == 1
+    assert state(spark, store) == want
+    for number in range(3, 12):
+        batch(number, ("c", 1, Decimal(1)))
+        generations.merge_batches(spark, store)
+    assert state(spark, store) == want | {("c", 9, Decimal(9))}
+    left = {kind: len(list((tmp_path / "sums" / kind).iterdir())) for kind in ("batch", "generation", "commit")}
+    assert left == {"batch": 1, "generation": 2, "commit": 2}  # no more with more batches
+
+
+def test_sets_keep_a_member_once(spark, tmp_path):
+    store = generations.set_store(str(tmp_path / "set"), T.StructType([T.StructField("d", T.DateType()), T.StructField("m", T.StringType())]))
+    for number in range(4):
+        generations.write_batch(store, spark.createDataFrame([(None, "x"), (None, "x"), (None, f"y{number // 2}")], "d date, m string"), number)
+        if number == 1:
+            generations.merge_batches(spark, store)
+    assert sorted(m for _, m in state(spark, store)) == ["x", "y0", "y1"] and generations.read(spark, store).count() == 3
+
+
+def test_insights_from_the_stream_equal_the_batch(spark, tmp_path):
+    zone, out, progress = tmp_path / "zone", str(tmp_path / "partials"), str(tmp_path / "state")
+    for i in range(7):
+        drop_file(zone, f"{i}.csv", *[(j, 10 * j - 15, f"1/{1 + (i + j) % 5}/2020") for j in range(6)])
+        if i in (3, 6):
+            lines = landing.landing_stream(spark, str(zone), schemas.TRANSACTIONS, files_per_batch=1)
+            landing.run_daily_partials(star.fact_transactions(lines, run_time=datetime(2024, 1, 1)), out, progress, merge_every=3)
+    fact = star.fact_transactions(files.read_csv(spark, str(zone), schemas.TRANSACTIONS), run_time=datetime(2024, 1, 1))
+    want, got = sales.daily_insights(fact), landing.daily_insights(spark, out)
+    assert got.columns == want.columns
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()} and want.count() == 5
+
+
 def test_ingest_is_exactly_once(spark, tmp_path):
     zone, out, state = tmp_path / "zone", str(tmp_path / "raw"), str(tmp_path / "state")
     for name in ("a.csv", "b.csv"):

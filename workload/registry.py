@@ -57,14 +57,14 @@ def doubles(df: DataFrame) -> DataFrame:
                        for f in df.schema])
 
 
-def query(name: str, sql: str | None = None):
-    """Register a query and, where SQL can say the same, its twin."""
+def query(name: str, sql: str | None = None, views: bool = True):
+    """Register a query and, where SQL can say the same, its twin; ``views``: put the shared views before the text."""
     def add(function: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = function
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            ORACLES[name] = with_views(sql) if views else sql
         return function
     return add
 

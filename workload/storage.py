@@ -38,12 +38,13 @@ def land_customers(spark: SparkSession, d: str, repeated: bool = False) -> str:
     return root
 
 
-def land_transactions(spark: SparkSession, d: str) -> str:
-    """Write the transactions view as CSV in the declared layout."""
+def land_transactions(spark: SparkSession, d: str, files: int | None = None) -> str:
+    """Write the transactions view as CSV in the declared layout, as so many files where a number is given."""
     root = scratch_dir(spark, "landing-transactions")
     rows = views.transactions(spark, d)
     absent = {f.name: F.lit(None).cast(f.dataType) for f in schemas.TRANSACTIONS if f.name not in rows.columns}
-    rows.withColumns(absent).select(*schemas.TRANSACTIONS.names).write.option("header", True).csv(root)
+    lines = rows.withColumns(absent).select(*schemas.TRANSACTIONS.names)
+    (lines if files is None else lines.repartition(files, "ORDERNUMBER")).write.option("header", True).csv(root)
     return root
 
 

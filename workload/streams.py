@@ -10,7 +10,7 @@ from storeloom.scratch import scratch_dir
 from storeloom.sources import files
 from storeloom.sources import retail_views as views
 from storeloom.streaming import landing
-from workload.registry import RUN_TIME, doubles, query
+from workload.registry import ORACLES, RUN_TIME, doubles, query
 from workload.storage import land_transactions
 
 
@@ -36,6 +36,16 @@ def stream_daily_totals(spark, d):
     return doubles(landing.daily_totals(spark, partials))
 
 
+@query("doc_10_stream_daily_insights", ORACLES["anl_13_daily_insights"], views=False)
+def stream_daily_insights(spark, d):
+    """The daily insights kept up to date by a stream of many small batches, merged every few of them."""
+    landed = land_transactions(spark, d, files=9)
+    arrived = landing.landing_stream(spark, landed, schemas.TRANSACTIONS, files_per_batch=2)
+    partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "checkpoint")
+    landing.run_daily_partials(star.fact_transactions(arrived, run_time=RUN_TIME), partials, checkpoint, merge_every=2)
+    return doubles(landing.daily_insights(spark, partials))
+
+
 def _event_files(spark, d, repeats: int = 1) -> str:
     """The events as several landing files, each event ``repeats`` times."""
     path = scratch_dir(spark, "landing-events")
