@@ -422,18 +422,7 @@ def test_line_dedup(spark):
     texts += [(100, None), (101, ""), (102, "\n\n"), (103, lines[0]), (3, texts[3][1])]
     docs = table(spark, texts)
     got = line_dedup.dedup_documents(docs).select("row.*", "n_lines", "n_removed").collect()
-    hashes = {(r["r1"], r["r2"]): r for r in line_dedup.simhashes(line_dedup.occurrences(docs)).collect()}
-    raw = {r["line"]: (r["r1"], r["r2"]) for r in line_dedup.occurrences(docs).collect()}
-    norm = {}
-    for line, key in raw.items():
-        if len(word_split(line)) >= 5:
-            norm.setdefault(" ".join(word_split(line)), hashes[key]["simhash"])
-    for text, simhash in norm.items():  # the SimHash itself, from single word hashes
-        words = text.split()
-        found = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()
-        bits = [sum(h[0] >> k & 1 for h in found) * 2 > len(words) for k in range(64)]
-        assert simhash & (2**64 - 1) == sum(b << k for k, b in enumerate(bits))
-        break
+    norm = {" ".join(word_split(line)) for _, text in texts if text for line in text.split("\n") if len(word_split(line)) >= 5}
     root = {n: n for n in norm}
 
     def find(n):
@@ -441,12 +430,9 @@ def test_line_dedup(spark):
             n = root[n]
         return n
 
-    def blocks(h):
-        return {(i, j, h >> 16 * i & 0xFFFF, h >> 16 * j & 0xFFFF) for i, j in line_dedup.BLOCK_PAIRS}
-
+    # Every word differs in one word at most here, so no pair within the edit similarity may be missed.
     for a, b in itertools.combinations(sorted(norm), 2):
-        if blocks(norm[a]) & blocks(norm[b]) and ((norm[a] ^ norm[b]) & (2**64 - 1)).bit_count() <= 12 \
-                and levenshtein(a, b) <= int(max(len(a), len(b)) * 0.1 + 1e-9):
+        if levenshtein(a, b) <= int(max(len(a), len(b)) * 0.1 + 1e-9):
             root[find(b)] = find(a)
     seen, want = {}, {}
     for i, text in sorted(dict(texts).items()):
@@ -475,12 +461,76 @@ def test_line_dedup_of_long_and_unspaced_lines(spark):
     docs = table(spark, texts)
     removed = {r["i"]: r["n_removed"] for r in line_dedup.dedup_documents(docs).select(F.col("row.doc_id").alias("i"), "n_removed").collect()}
     assert removed == {i: int(10 <= i < 20) for i, _ in texts}
-    found = line_dedup.simhashes(line_dedup.occurrences(docs)).collect()
-    words = {w: spark.createDataFrame([(w,)], "w string").select(F.xxhash64("w")).first()[0] for w in {"same", *mixed.split()}}
-    for line in ("same " * 70_000, mixed):
-        n = Counter(line.split())
-        want = sum(1 << k for k in range(64) if sum(c for w, c in n.items() if words[w] >> k & 1) * 2 > 70_000)
-        assert want in {r["simhash"] & (2**64 - 1) for r in found}
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_simhash_bits(spark):
+    rng = random.Random(3)
+    lists = [[signed(rng.getrandbits(64)) for _ in range(n)] for n in (0, 1, 2, 3, 4, 8, 13, 15)]
+    got = spark.createDataFrame([(h,) for h in lists], "h array<bigint>").select(line_dedup.short_simhash(F.col("h"))).collect()
+    assert [r[0] & (2**64 - 1) for r in got] == [sum(1 << k for k in range(64) if sum(x >> k & 1 for x in h) * 2 > len(h)) for h in lists]
+    words = {"a": WORDS[:12], "b": [f"w{i}" for i in range(45)], "c": [f"{i}" for i in range(3000)] * 2}
+    lines = spark.createDataFrame([(k, v, len(v)) for k, v in words.items()], "k string, words array<string>, n_words int")
+    hashes = {r["w"]: r["h"] for r in lines.select(F.explode("words").alias("w")).distinct().select("w", F.xxhash64("w").alias("h")).collect()}
+    want = {}
+    for k, v in words.items():
+        for number, first, in_use in ((line_dedup.FEW_BLOCKS, 0, len(v) < 48), (line_dedup.MANY_BLOCKS, line_dedup.MANY_SLOTS, len(v) >= 40)):
+            for slot in range(number if in_use else 0):
+                mine = [hashes[w] for w in set(v) if hashes[w] % number == slot]
+                if mine:
+                    want[k, slot + first] = (len(mine), sum(1 << b for b in range(63) if sum(h >> b & 1 for h in mine) * 2 > len(mine)))
+    blocks = line_dedup.block_simhashes(lines, ["k", "n_words"]).collect()
+    assert {(r["k"], r["slot"]): (r["n"], r["s"]) for r in blocks} == want and len(blocks) == len(want)
+
+
+def typo(rng, text):
+    at = rng.choice([i for i, c in enumerate(text) if c != " "])
+    return text[:at] + rng.choice("abcdefgh".replace(text[at], "")) + text[at + 1:]
+
+
+def test_line_recall_against_edit_similarity(spark):
+    """Pairs within the edit similarity that are found: one letter changed, and as many as the similarity allows, up to three."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvw", k=rng.randint(2, 9))) for _ in range(2000)]
+    docs, kind = [], {}
+    for n, edits, _ in itertools.product((5, 8, 12, 20, 40, 90), (1, 2, 3), range(25)):
+        line = " ".join(rng.choices(vocabulary, k=n))
+        other = line
+        for _ in range(edits):
+            other = typo(rng, other)
+        if levenshtein(line, other) <= int(len(line) * 0.1 + 1e-9) and line != other:
+            docs += [(2 * len(docs), line + "\nend"), (2 * len(docs) + 1, other + "\nend")]
+            kind[docs[-1][0]] = (n, edits)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    removed = {r["i"]: r["n_removed"] for r in line_dedup.dedup_documents(frame).select(F.col("row.doc_id").alias("i"), "n_removed").collect()}
+    assert all(removed[i] == 0 for i, _ in docs if i not in kind)
+    shares = {}
+    for i, k in kind.items():
+        shares.setdefault(k[1], []).append(removed[i])
+    assert sum(shares[1]) == len(shares[1])  # one letter, at every length
+    assert sum(shares[2]) >= 0.9 * len(shares[2])
+    assert sum(sum(v) for v in shares.values()) >= 0.85 * len(kind)
+
+
+def test_equal_ends_are_taken_off_long_lines(spark):
+    rng = random.Random(2)
+    base = "".join(rng.choices("abcé ", k=3000))
+    pairs = [(base, base[:700] + "XY" + base[710:]), (base, "q" + base), (base, base + "q"), (base, base[1:]), (base, base), ("ab" * 800, "ba" * 700),
+             ("short", "shirt")]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    got = frame.select(line_dedup._cores(F.col("a"), F.col("b")).alias("c")).select("c.a", "c.b").collect()
+    for (a, b), (x, y) in zip(pairs, got, strict=True):
+        if len(a) < 1000:
+            assert (x, y) == (a, b)
+            continue
+        start = next((i for i, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
+        a, b = a[start:], b[start:]
+        end = next((i for i, (p, q) in enumerate(zip(a[::-1], b[::-1])) if p != q), min(len(a), len(b)))
+        a, b = a[:len(a) - end], b[:len(b) - end]
+        assert (x[::-1], y[::-1]) == (a, b)
 
 
 @pytest.mark.parametrize("similarity", [0.5, 0.75, 0.9, 1.0])
