@@ -28,12 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.texts import map_texts, slices
+from storeloom.llm.texts import map_texts
 from storeloom.llm.words import blank_words
 from storeloom.scratch import stage
 
 WORD_START = "▁"
-FLUSH_WORDS = 400_000
+FLUSH_WORDS = 100_000
 
 
 def _processor(path: str):
@@ -96,12 +96,12 @@ def count_words(documents: DataFrame, text: Column, in_training: Column) -> Data
 
         everywhere, training = Counter(), Counter()
         for batch in batches:
-            for part, texts in slices(batch):
-                for learn, value in zip(part.column("train").to_pylist(), texts, strict=True):
-                    words = blank_words(value)
-                    everywhere.update(words)
-                    if learn:
-                        training.update(words)
+            # One text at a time: a batch of texts as objects, beside its buffers, would double what a worker holds.
+            for learn, value in zip(batch.column("train"), batch.column("text"), strict=True):
+                words = blank_words(value.as_py())
+                everywhere.update(words)
+                if learn.as_py():
+                    training.update(words)
                 if len(everywhere) > FLUSH_WORDS:
                     yield out(everywhere, training)
                     everywhere, training = Counter(), Counter()

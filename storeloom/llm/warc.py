@@ -35,6 +35,7 @@ from storeloom.scratch import scratch_dir, stage
 ARCHIVE_BYTES = 1 << 30
 GAP_BYTES = 64 << 10
 RUN_BYTES = 16 << 20
+READ_BYTES = 64 << 20  # of stored records, read by one task
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _BASE32_HEX = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -155,8 +156,12 @@ def runs(ranges: list[tuple[str, int, int]], gap: int = GAP_BYTES, longest: int
 
 
 def read(index: DataFrame, with_payload: bool = False) -> DataFrame:
-    """The records of any selection of index rows, verified."""
-    ordered = (index.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    """The records of any selection of index rows, verified.
+
+    The number of tasks follows from the bytes of the records; those of the index itself are a fiftieth of them.
+    """
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+    ordered = (index.select("archive", "offset", "length").repartitionByRange(1 + size // READ_BYTES, "archive", "offset")
                .sortWithinPartitions("archive", "offset"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,6 +78,16 @@ def test_warc_round_trip(spark):
     assert all(r["record_type"] == "response" for r in warc.round_trip(frame, least_bytes=10**9).collect())
 
 
+def test_read_tasks_follow_the_bytes_of_the_records(spark, monkeypatch):
+    rng = random.Random(1)
+    pages = spark.createDataFrame([(i, "u", rng.randbytes(3000).hex()) for i in range(300)], "page_id long, url string, html string")
+    index = warc.write(pages, warc.scratch_dir(spark, "warc"), archive_bytes=100_000)
+    monkeypatch.setattr(warc, "READ_BYTES", 100_000)
+    read = warc.read(index, with_payload=True)
+    assert read.rdd.getNumPartitions() >= 9
+    assert {r["page_id"] for r in read.collect()} == set(range(300))
+
+
 def test_ranges_are_joined_only_when_close():
     ranges = [("a", 0, 10), ("a", 10, 5), ("a", 200, 5), ("b", 0, 5), ("b", 5, 100)]
     assert list(warc.runs(ranges, gap=10, longest=50)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
