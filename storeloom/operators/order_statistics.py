@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 
 _DIGIT_BITS = 21
 _DIGIT_MASK = (1 << _DIGIT_BITS) - 1
+DIGITS = ("d0", "d1", "d2")
 
 
-def _units(df: DataFrame, column: str) -> tuple[Column, int]:
+def units(df: DataFrame, column: str) -> tuple[Column, int]:
+    """A decimal or integer column as a count of its smallest unit, and its scale."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.DecimalType):
         return (F.col(column) * F.lit(10 ** kind.scale)).cast("bigint"), kind.scale
@@ -28,12 +30,12 @@ def _units(df: DataFrame, column: str) -> tuple[Column, int]:
     raise TypeError(f"{column} must be a decimal or an integer, not {kind.simpleString()}")
 
 
-def _digits(units: Column) -> list[Column]:
-    """High to low digit; the high one carries the sign, so order is kept."""
+def digits(value: Column) -> list[Column]:
+    """High to low digit of a count of units; the high one carries the sign, so order is kept."""
     return [
-        F.shiftright(units, 2 * _DIGIT_BITS),
-        F.shiftright(units, _DIGIT_BITS).bitwiseAND(F.lit(_DIGIT_MASK)),
-        units.bitwiseAND(F.lit(_DIGIT_MASK)),
+        F.shiftright(value, 2 * _DIGIT_BITS),
+        F.shiftright(value, _DIGIT_BITS).bitwiseAND(F.lit(_DIGIT_MASK)),
+        value.bitwiseAND(F.lit(_DIGIT_MASK)),
     ]
 
 
@@ -44,9 +46,9 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
     digit. The running selection has one row per probability; that is the proven
     bound behind the broadcast. Give it a stored or staged frame.
     """
-    units, scale = _units(df, column)
-    high, middle, low = _digits(F.col("u"))
-    data = df.select(units.alias("u")).filter(F.col("u").isNotNull()).select(
+    value, scale = units(df, column)
+    high, middle, low = digits(F.col("u"))
+    data = df.select(value.alias("u")).filter(F.col("u").isNotNull()).select(
         high.alias("d0"), middle.alias("d1"), low.alias("d2"))
 
     counts = data.groupBy("d0").agg(F.count(F.lit(1)).alias("n"))
@@ -109,10 +111,10 @@ def rank_within(df: DataFrame, group: str, column: str, name: str) -> DataFrame:
     by digit: every window partition holds distinct digits only, so at most
     2**22 rows. ``df`` is read twice; give it a staged frame. NULL ranks last.
     """
-    units, _ = _units(df, column)
+    value, _ = units(df, column)
     # As a struct the group is never NULL itself, so plain equality also pairs NULL groups.
-    data = df.withColumns({"_group": F.struct(F.col(group)), "_units": F.coalesce(units, F.lit(-(1 << 63)))})
-    high, middle, low = _digits(F.col("_units"))
+    data = df.withColumns({"_group": F.struct(F.col(group)), "_units": F.coalesce(value, F.lit(-(1 << 63)))})
+    high, middle, low = digits(F.col("_units"))
     values = (data.groupBy("_group", "_units").agg(F.count(F.lit(1)).alias("n"))
               .withColumns({"d0": high, "d1": middle, "d2": low}))
     mid = values.groupBy("_group", "d0", "d1").agg(F.sum("n").alias("n"))

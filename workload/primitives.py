@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from storeloom.functions import dates, money, text
 from storeloom.operators import joins
 from storeloom.operators.combine import dedup_report, union_by_name
+from storeloom.operators.large_ranks import row_numbers, top_by_value
 from storeloom.operators.order_statistics import exact_percentiles, percentile_struct
 from storeloom.operators.periods import sales_only
 from storeloom.operators.quality import has_size, evaluate, profile_rules
@@ -281,6 +282,29 @@ def top_k_per_group(spark, d):
     return doubles(top_per_group(totals, ["territory"], [F.desc("total_sales"), F.asc("product_code")], 2))
 
 
+@query("win_2_top_of_large_groups", """
+    SELECT * FROM (SELECT TERRITORY, TOTAL_AMOUNT, ORDERNUMBER, ORDERLINENUMBER,
+                          row_number() OVER (PARTITION BY TERRITORY ORDER BY TOTAL_AMOUNT DESC NULLS LAST, ORDERNUMBER, ORDERLINENUMBER) AS rank
+                   FROM transactions) r
+    WHERE rank <= 5000""")
+def top_of_large_groups(spark, d):
+    """More rows a territory than Spark's group limit takes."""
+    lines = views.transactions(spark, d, ["TERRITORY", "TOTAL_AMOUNT", "ORDERNUMBER", "ORDERLINENUMBER"])
+    exact = lines.withColumn("TOTAL_AMOUNT", money.money(F.col("TOTAL_AMOUNT")))
+    found = top_by_value(stage(exact, "lines"), ["TERRITORY"], "TOTAL_AMOUNT", [F.asc("ORDERNUMBER"), F.asc("ORDERLINENUMBER")], 5000)
+    return doubles(found.select("TERRITORY", "TOTAL_AMOUNT", "ORDERNUMBER", "ORDERLINENUMBER", "rank"))
+
+
+@query("set_2_repeats_after_the_first", """
+    SELECT ORDERNUMBER, count(*) AS repeats FROM (
+        SELECT ORDERNUMBER, row_number() OVER (PARTITION BY ORDERNUMBER ORDER BY TOTAL_AMOUNT, ORDERLINENUMBER) AS n FROM transactions) r
+    WHERE n > 1 GROUP BY ORDERNUMBER""")
+def repeats_after_the_first(spark, d):
+    lines = views.transactions(spark, d, ["ORDERNUMBER", "TOTAL_AMOUNT", "ORDERLINENUMBER"])
+    numbered = row_numbers(lines, ["ORDERNUMBER"], [F.asc("TOTAL_AMOUNT"), F.asc("ORDERLINENUMBER")], "n")
+    return numbered.filter("n > 1").groupBy("ORDERNUMBER").agg(F.count(F.lit(1)).alias("repeats"))
+
+
 @query("srt_1_sort_descending", """
     SELECT product_code, count(*) AS lines FROM fact GROUP BY product_code ORDER BY lines DESC, product_code""")
 def sort_descending(spark, d):
