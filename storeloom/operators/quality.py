@@ -81,32 +81,38 @@ def at_level(checks: tuple[Check, ...], level: str) -> tuple[Check, ...]:
     return tuple(Check(c.name, c.metric, c.at_least, c.column, c.pattern, level) for c in checks)
 
 
-def _share(count: Column, total: Column) -> Column:
+def share(count: Column, total: Column) -> Column:
     """A share of no rows at all is complete."""
     return F.coalesce(F.try_divide(count.cast("double"), total.cast("double")), F.lit(1.0))
 
 
-def _scan_metric(check: Check) -> Column:
+def passing_rows(check: Check) -> Column:
+    """Aggregate: the rows that pass a check of single rows."""
     rows = F.count(F.lit(1))
     if check.metric == "size":
-        return rows.cast("double")
+        return rows
     column = F.col(check.column)
     if check.metric == "completeness":
-        return _share(F.count(column), rows)
+        return F.count(column)
     if check.metric == "validity":
-        return _share(rows - F.count_if(~column.rlike(check.pattern)), rows)
+        return rows - F.count_if(~column.rlike(check.pattern))
     if check.metric == "positivity":
-        return _share(rows - F.count_if(column <= 0), rows)
+        return rows - F.count_if(column <= 0)
     raise ValueError(f"no such metric: {check.metric}")
 
 
+def _scan_metric(check: Check) -> Column:
+    passing = passing_rows(check)
+    return passing.cast("double") if check.metric == "size" else share(passing, F.count(F.lit(1)))
+
+
 def _uniqueness(df: DataFrame, check: Check) -> DataFrame:
     counts = (df.filter(F.col(check.column).isNotNull())
               .groupBy(check.column).agg(F.count(F.lit(1)).alias("n")))
-    return counts.agg(_share(F.count_if(F.col("n") == 1), F.sum("n")).alias("value"))
+    return counts.agg(share(F.count_if(F.col("n") == 1), F.sum("n")).alias("value"))
 
 
-def _verdict(check: Check, value: Column) -> Column:
+def verdict(check: Check, value: Column) -> Column:
     passed = value >= F.lit(check.at_least)
     return F.struct(
         F.lit(check.name).alias("check"), F.lit(check.constraint).alias("constraint"),
@@ -124,11 +130,11 @@ def evaluate(df: DataFrame, checks: tuple[Check, ...] | list[Check]) -> DataFram
     frames = []
     if scans:
         metrics = df.agg(*[_scan_metric(c).alias(f"m{i}") for i, c in enumerate(scans)])
-        rows = F.array(*[_verdict(c, F.col(f"m{i}")) for i, c in enumerate(scans)])
+        rows = F.array(*[verdict(c, F.col(f"m{i}")) for i, c in enumerate(scans)])
         frames.append(metrics.select(F.inline(rows)))
     for check in checks:
         if check.metric == "uniqueness":
-            frames.append(_uniqueness(df, check).select(F.inline(F.array(_verdict(check, F.col("value"))))))
+            frames.append(_uniqueness(df, check).select(F.inline(F.array(verdict(check, F.col("value"))))))
     return union_by_name(frames)
 
 
@@ -178,7 +184,7 @@ def profile_columns(df: DataFrame, columns: list[str], exact: bool = True) -> Da
         F.struct(F.lit(c).alias("column_name"), F.col("rows").alias("row_count"),
                  (F.col("rows") - F.col(f"s{i}.filled")).alias("null_count"),
                  F.col(f"s{i}.distinct_count").alias("distinct_count"),
-                 _share(F.col(f"s{i}.filled"), F.col("rows")).alias("completeness"),
+                 share(F.col(f"s{i}.filled"), F.col("rows")).alias("completeness"),
                  F.col(f"s{i}.min_value").alias("min_value"), F.col(f"s{i}.max_value").alias("max_value"))
         for i, c in enumerate(columns)])
     return stats.select(F.inline(entries))

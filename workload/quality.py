@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from storeloom.config import DEFAULT_THRESHOLDS
 from storeloom.functions import text
+from storeloom.operators import metric_states
 from storeloom.operators import quality as dq
 from storeloom.operators.combine import union_by_name
 from storeloom.plans import star
-from storeloom.scratch import stage
+from storeloom.scratch import scratch_dir, stage
 from storeloom.sources import retail_views as views
 from workload.analytics import dimension
 from workload.registry import doubles, fact, query
@@ -207,3 +208,38 @@ PROFILED = ["order_number", "quantity", "product_code", "territory", "order_date
 @query("dq_13_column_profile", " UNION ALL ".join(_profile_sql(c) for c in PROFILED))
 def column_profile(spark, d):
     return dq.profile_columns(fact(spark, d, PROFILED), PROFILED)
+
+
+def record_thirds(spark, d, path, checks, columns):
+    """The lines in three deliveries by their order number, each recorded by itself; the first two are merged."""
+    rows = fact(spark, d, PROFILED)
+    fields = rows.select(*columns).schema
+    for number in range(3):
+        metric_states.record(rows.filter(F.pmod("order_number", F.lit(3)) == number), path, number, checks, columns)
+        if number == 1:
+            metric_states.merge(spark, path, fields)
+    return fields
+
+
+@query("dq_13_profile_from_states", " UNION ALL ".join(
+    _profile_sql(c).replace(" AS max_value FROM fact", " AS max_value, (count(DISTINCT {0}) + max(CASE WHEN {0} IS NULL THEN 1 ELSE 0 END))"
+                            " / CAST(count(*) AS DOUBLE) AS unique_ratio FROM fact".format(c)) for c in PROFILED))
+def profile_from_states(spark, d):
+    path = scratch_dir(spark, "metric-states")
+    return metric_states.profile(spark, path, record_thirds(spark, d, path, [], PROFILED))
+
+
+@query("dq_3_checks_from_states", " UNION ALL ".join([
+    verdict_sql("size_at_least_1000", "size(*) >= 1000", "Error", "count(*)", "fact", 1000),
+    verdict_sql("territory_not_null", "completeness(territory) >= 1", "Error", completeness("territory"), "fact", 1),
+    verdict_sql("product_code_format", "validity(product_code) >= 1", "Error",
+                "1 - CAST(count(*) FILTER (WHERE NOT regexp_matches(product_code, '^S[0-9]+_[0-9]+$')) AS DOUBLE) / count(*)",
+                "fact", 1),
+    verdict_sql("order_number_unique", "uniqueness(order_number) >= 1", "Error", ONCE_SHARE, once("order_number", "fact"), 1),
+    verdict_sql("product_code_unique", "uniqueness(product_code) >= 0", "Error", ONCE_SHARE, once("product_code", "fact"), 0)]))
+def checks_from_states(spark, d):
+    path = scratch_dir(spark, "metric-states")
+    checks = [dq.has_size(1000), dq.not_null("territory"), dq.product_code_format("product_code"), dq.unique("order_number"),
+              dq.unique("product_code", min_ratio=0.0)]
+    fields = record_thirds(spark, d, path, checks, ["order_number", "product_code"])
+    return metric_states.evaluate(spark, path, checks, fields).select(*RESULT)
