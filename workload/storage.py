@@ -12,6 +12,7 @@ from storeloom.sinks import catalog, tables, warehouse
 from storeloom.sources import files
 from storeloom.sources import retail_views as views
 from storeloom.sources.tables import read_table
+from storeloom.sources.type_drift import read_drifting_types
 from workload.analytics import MEASURES, SALE
 from workload.registry import ALL_FACT, RUN_TIME, doubles, fact, query
 
@@ -90,6 +91,23 @@ def csv_typed(spark, d):
         F.count(files.CORRUPT_COLUMN).alias("corrupt")))
 
 
+@query("src_3_drifting_types", """
+    SELECT o_orderkey, CASE o_orderkey % 3 WHEN 1 THEN concat('C', CAST(o_custkey AS VARCHAR)) ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey,
+           CASE o_orderkey % 3 WHEN 2 THEN round(o_totalprice) ELSE o_totalprice END AS o_totalprice,
+           CASE o_orderkey % 3 WHEN 2 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def drifting_types(spark, d):
+    """Three deliveries of the orders: numbers, text and other numbers under the same names; one has a column more."""
+    root = scratch_dir(spark, "orders-by-delivery")
+    kinds = [("bigint", "bigint", "decimal(12,2)", []), ("int", "string", "decimal(15,2)", []), ("bigint", "int", "int", ["o_orderpriority"])]
+    for number, (key, customer, price, more) in enumerate(kinds):
+        named = F.concat(F.lit("C"), F.col("o_custkey").cast("string")) if customer == "string" else F.col("o_custkey").cast(customer)
+        amount = F.round("o_totalprice") if price == "int" else F.col("o_totalprice")
+        views.table(spark, d, "orders").filter(F.pmod("o_orderkey", F.lit(3)) == number).select(
+            F.col("o_orderkey").cast(key), named.alias("o_custkey"), amount.cast(price).alias("o_totalprice"), *more).write.parquet(
+            f"{root}/delivery={number}")
+    return doubles(read_drifting_types(spark, [f"{root}/delivery={number}" for number in range(3)]))
+
+
 @query("src_4_csv_inferred", "SELECT * FROM calendar")
 def csv_inferred(spark, d):
     return files.read_csv(spark, land_calendar(spark, d))
