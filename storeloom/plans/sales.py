@@ -13,7 +13,7 @@ from storeloom.functions.money import REFUND, SALE, average, refund_split, total
 from storeloom.functions.text import product_family
 from storeloom.operators.joins import with_fiscal_day
 from storeloom.operators.order_statistics import percentile_struct_of_few, tier
-from storeloom.operators.periods import refunds_by_period, sales_by_period, sales_measures, sales_only
+from storeloom.operators.periods import refunds_by_period, refunds_only, sales_by_period, sales_measures, sales_only
 from storeloom.scratch import stage
 
 DAY_LABELS = ("High Sales Day", "Medium Sales Day", "Low Sales Day")
@@ -53,6 +53,28 @@ def quarterly_refunds(fact: DataFrame) -> DataFrame:
     return refunds_by_period(fact, ["year", "quarter"])
 
 
+PERIOD_KEYS = {"analytics": ALL_PERIODS, "weekly": ["year", "week"], "monthly": ["year", "month"], "quarterly": ["year", "quarter"]}
+
+
+def period_tables(fact: DataFrame) -> dict[str, DataFrame]:
+    """The eight sales and refund tables from one scan of the fact.
+
+    All measures are sums and counts, so the finest table (one row per year, quarter, month, week and type, a number that
+    follows from the calendar) is staged once and rolled up; grouping sets would send every line four times.
+    """
+    finest = fact.groupBy("transaction_type", *periods(F.col("order_date"), ALL_PERIODS)).agg(
+        total(fact, "net_amount").alias("amount"), total(fact, "restocking_fee").alias("fees"),
+        F.count("order_number").alias("lines"), F.count("net_amount").alias("amounts"))
+    parts = stage(finest, "periods")
+    amount = F.sum("amount")
+    sold = [amount.alias("total_sales"), F.sum("lines").alias("total_orders"), average(amount, F.sum("amounts")).alias("avg_order_value")]
+    returned = [amount.alias("total_refunds"), F.sum("fees").alias("total_restocking_fees"), F.sum("lines").alias("total_refund_orders")]
+    sales = {f"sales_{n}" if n == "analytics" else f"{n}_sales": sales_only(parts).groupBy(*k).agg(*sold) for n, k in PERIOD_KEYS.items()}
+    refunds = {f"refunds_{n}" if n == "analytics" else f"{n}_refunds": refunds_only(parts).groupBy(*k).agg(*returned)
+               for n, k in PERIOD_KEYS.items()}
+    return sales | refunds
+
+
 def product_family_sales(fact: DataFrame) -> DataFrame:
     family = product_family(F.col("product_code")).alias("product_family")
     return sales_only(fact).groupBy(family).agg(*sales_measures(fact)).orderBy(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from storeloom.functions import text
+from storeloom.operators.combine import union_by_name
 from storeloom.operators.joins import with_contacts
 from storeloom.operators.ranking import preview
 from storeloom.plans import customers, products, sales, star
@@ -86,6 +87,34 @@ _period_query("anl_7_monthly_refunds", sales.monthly_refunds, REFUND_MEASURES, "
 _period_query("anl_8_quarterly_refunds", sales.quarterly_refunds, REFUND_MEASURES, "REFUND", ("year", "quarter"), ["restocking_fee"])
 
 
+PERIOD_TABLES = {
+    "sales_analytics": ("SALE", ALL_KEYS), "weekly_sales": ("SALE", ("year", "week")),
+    "monthly_sales": ("SALE", ("year", "month")), "quarterly_sales": ("SALE", ("year", "quarter")),
+    "refunds_analytics": ("REFUND", ALL_KEYS), "weekly_refunds": ("REFUND", ("year", "week")),
+    "monthly_refunds": ("REFUND", ("year", "month")), "quarterly_refunds": ("REFUND", ("year", "quarter"))}
+PERIOD_MEASURES = {"SALE": ("total_sales", "avg_order_value", "total_orders"),
+                   "REFUND": ("total_refunds", "total_restocking_fees", "total_refund_orders")}
+
+
+def _period_table_sql(name):
+    kind, keys = PERIOD_TABLES[name]
+    columns = ", ".join(PERIOD_SQL[k] if k in keys else f"CAST(NULL AS INTEGER) AS {k}" for k in ALL_KEYS)
+    value = {"SALE": "CAST(sum(net_amount) AS DOUBLE) / count(net_amount)", "REFUND": "CAST(sum(restocking_fee) AS DOUBLE)"}[kind]
+    return (f"SELECT '{name}' AS \"table\", {columns}, CAST(sum(net_amount) AS DOUBLE) AS amount, {value} AS mean_or_fees, "
+            f"count(order_number) AS lines FROM fact WHERE transaction_type = '{kind}' GROUP BY ALL")
+
+
+@query("anl_1_to_8_period_tables", " UNION ALL ".join(map(_period_table_sql, PERIOD_TABLES)))
+def period_tables(spark, d):
+    found = sales.period_tables(fact(spark, d, [*SALE, "order_date", "restocking_fee"]))
+    frames = []
+    for name, (kind, keys) in PERIOD_TABLES.items():
+        shown = [F.col(k) if k in keys else F.lit(None).cast("int").alias(k) for k in ALL_KEYS]
+        values = [F.col(c).alias(n) for c, n in zip(PERIOD_MEASURES[kind], ("amount", "mean_or_fees", "lines"), strict=True)]
+        frames.append(doubles(found[name].select(F.lit(name).alias("table"), *shown, *values)))
+    return union_by_name(frames)
+
+
 @query("anl_9_product_family_sales", f"""
     SELECT product_family, {MEASURES} FROM families WHERE transaction_type = 'SALE'
     GROUP BY product_family ORDER BY sum(net_amount) DESC, product_family""")
