@@ -21,8 +21,10 @@ from __future__ import annotations
 import math
 import re
 import string
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -154,10 +156,31 @@ def _band(length: int) -> int:
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("rank", T.IntegerType()),
                      T.StructField("end", T.IntegerType())])
 CHANCE = T.StructType([*SPAN.fields, T.StructField("encoding", T.StringType()), T.StructField("band", T.IntegerType()),
-                       T.StructField("bin", T.IntegerType()), T.StructField("hash", T.LongType())])
+                       T.StructField("bin", T.IntegerType()), T.StructField("hash", T.LongType()),
+                       T.StructField("within", T.IntegerType())])
 ADDED = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("chances", T.ArrayType(CHANCE))])
 
 
+def outside(found: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[bool]:
+    """Whether each (start, end) lies within none of the (start, kind, end), which are in order of their start."""
+    starts, reach = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
+    return [not k or reach[k - 1] < end for k, end in ((bisect_right(starts, start), end) for start, end in found)]
+
+
+def enclosing(found: list[tuple[int, int]]) -> list[int]:
+    """Place of the longer (start, end) that holds each; -1 if none does. The strings of one split of a part are apart, so
+    a string lies in at most one of the other split."""
+    out, top = [-1] * len(found), -1
+    for i in sorted(range(len(found)), key=lambda i: (found[i][0], -found[i][1])):
+        start, end = found[i]
+        if top >= 0 and found[top][1] >= end:
+            if found[top][1] - found[top][0] > end - start:
+                out[i] = top
+        else:
+            top = i
+    return out
+
+
 def _scan(parts: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
     for texts in parts:
         bases, chances = [], []
@@ -165,14 +188,14 @@ def _scan(parts: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
             raw = raw or b""
             text = raw.decode("utf-8", "replace")
             base = base_spans(text, raw)
+            tested = [(start, start + len(part), part, encoding) for start, part, encoding in candidates(text)]
+            tested = [x for x, out in zip(tested, outside([x[:2] for x in tested], base), strict=True) if out]
             found = []
-            for start, part, encoding in candidates(text):
-                end = start + len(part)
-                if any(s <= start and end <= e for s, _, e in base):
-                    continue
+            for (start, end, part, encoding), within in zip(tested, enclosing([x[:2] for x in tested]), strict=True):
                 p = randomness(part, encoding)
                 found.append({"start": start, "rank": 3, "end": end, "encoding": encoding, "band": _band(len(part)),
-                              "bin": min(BINS - 1, int(p * BINS)), "hash": xxhash.xxh3_64_intdigest(part) - (1 << 63)})
+                              "bin": min(BINS - 1, int(p * BINS)), "hash": xxhash.xxh3_64_intdigest(part) - (1 << 63),
+                              "within": within})
             bases.append([{"start": s, "rank": k, "end": e} for s, k, e in base])
             chances.append(found)
         yield [bases, chances]
@@ -227,11 +250,9 @@ def scan(documents: DataFrame, text: Column, false_share: float = 0.05, keep: tu
                 verdict = verdict | ((x["encoding"] == encoding) & (x["band"] == band) & (x["bin"] >= least))
         return verdict
 
-    random = F.transform(F.filter("chances", is_secret), lambda x: F.struct(x["start"], x["rank"], x["end"]))
-    judged = scanned.select("row", "base", random.cast(T.ArrayType(SPAN)).alias("random"))
-    outer = F.filter("random", lambda x: ~F.exists("random", lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & (
-        y["end"] - y["start"] > x["end"] - x["start"])))
-    return judged.select("row", F.sort_array(F.concat("base", outer)).alias("found"))
+    random = F.filter("chances", lambda x: is_secret(x) & ~F.coalesce(is_secret(F.get("chances", x["within"])), F.lit(False)))
+    spans = F.transform(random, lambda x: F.struct(x["start"], x["rank"], x["end"])).cast(T.ArrayType(SPAN))
+    return scanned.select("row", F.sort_array(F.concat("base", spans)).alias("found"))
 
 
 def written(spans: Column) -> Column:

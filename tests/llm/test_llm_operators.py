@@ -284,6 +284,43 @@ def test_secrets_behind_names(spark):
     assert {s for _, s in found} == {"a" * 30, "C" * 20 + "==", "D" * 25, "my_file-" + "D" * 25} and all(a == b for a, b in found)
 
 
+def test_spans_within_others_match_all_pairs():
+    rng = random.Random(12)
+    for _ in range(200):
+        cuts = sorted(rng.sample(range(200), 20))
+        spans = [(a, rng.randrange(3), b) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        spans += [(a, 2, rng.randrange(a + 1, 220)) for a, _, _ in rng.sample(spans, 3)]
+        spans.sort()
+        found = [(a, a + rng.randrange(1, 30)) for a in (rng.randrange(200) for _ in range(30))]
+        assert secrets.outside(found, spans) == [not any(s <= a and b <= e for s, _, e in spans) for a, b in found]
+        one, two = ([(a, b) for a, b in zip(c[:-1], c[1:], strict=True) if rng.random() < 0.8]
+                    for c in (sorted(rng.sample(range(100), n)) for n in (6, 25)))
+        both = one + two
+        want = [next((i for i, (s, e) in enumerate(both) if s <= a and b <= e and e - s > b - a), -1) for a, b in both]
+        assert secrets.enclosing(both) == want
+    assert secrets.outside([], []) == secrets.enclosing([]) == []
+
+
+def test_secret_scan_of_a_long_list_of_hashes(spark):
+    """Two fixed and one random string a line, 6 MB in one text: far beyond what comparing all spans with all would allow."""
+    rng = random.Random(13)
+    n = 50_000
+    lines = [f"{rng.getrandbits(128):032x} password=x{i:07d} " + "".join(rng.choices(secrets.ALPHABETS["base64"][:62], k=24)) + "-"
+             + "".join(rng.choices(secrets.ALPHABETS["base64"][:62], k=24)) + "+" + "a" * 20 for i in range(n)]
+    text = "\n".join(lines)
+    assert len(text) > 6_000_000
+    found = secrets.scan(spark.createDataFrame([(1, text), (2, None), (None, ""), (1, "f" * 24), (1, "f" * 24)], "doc_id long, text string"),
+                         F.col("text")).select("row.doc_id", F.size(F.filter("found", lambda s: s["rank"] == 0)).alias("assign"),
+                                               F.size(F.filter("found", lambda s: s["rank"] == 2)).alias("hex"),
+                                               F.size("found").alias("n")).collect()
+    by_size = sorted(((r["doc_id"] or 0, r["assign"], r["hex"], r["n"]) for r in found), key=lambda x: (x[3], x[0]))
+    assert by_size[:4] == [(0, 0, 0, 0), (2, 0, 0, 0), (1, 0, 1, 1), (1, 0, 1, 1)]
+    # Of a line's strings the longest random one stays, the one across "-".
+    assert by_size[4][:3] == (1, n, n) and 2.9 * n < by_size[4][3] <= 3 * n
+    empty = secrets.scan(spark.createDataFrame([], "doc_id long, text string"), F.col("text"))
+    assert empty.count() == 0 and empty.columns == ["row", "found"]
+
+
 def all_ways(lattice, text):
     """Every segmentation's log probability."""
     if not text:
