@@ -31,7 +31,7 @@ from storeloom.llm.texts import map_texts
 from storeloom.scratch import stage
 
 CAPACITY = 4096
-CACHE = 200_000
+CACHE = 400_000  # about 60 MB a worker for each of the two memories
 SLICE_BYTES = 2 << 20
 # Python splits at these, the tokenizer does not.
 _NOT_BLANKS = "\x1c\x1d\x1e\x1f"
@@ -42,11 +42,11 @@ _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z\xDF-\xF6\xF8-\xFF]+|[0-9]|[^a-z
 _MARK = "<|"
 
 
-def _byte_letters() -> dict[int, int]:
+def _byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next from 256 on."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [b for b in range(256) if b not in printable]
-    return {b: 256 + k for k, b in enumerate(others)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
 _BYTE_LETTERS = _byte_letters()
@@ -63,6 +63,7 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.written = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.parts: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -72,14 +73,17 @@ class Ids:
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            found = self.pieces[piece] = _packed([t.id for t in self.model.tokenize(letters)])
+            # Printable ASCII stands for itself.
+            plain = piece.isascii() and piece.isprintable()
+            letters = piece if plain else "".join(map(_BYTE_LETTERS.__getitem__, piece.encode()))
+            found = self.pieces[piece] = b"".join([self.written[t.id] for t in self.model.tokenize(letters)])
         return found
 
     def _part(self, part: str) -> bytes:
         if _MARK in part or not _PLAIN.fullmatch(part):
             return self._whole(part)
-        return b"".join(map(self._piece, _PIECE.findall(part.lower())))
+        pieces = _PIECE.findall(part.lower())
+        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
 
     def __call__(self, text: str) -> bytes:
         if any(c in text for c in _NOT_BLANKS):
@@ -169,7 +173,8 @@ def pack(documents: DataFrame, text: Column, path: str, end_id: int = 1, capacit
                    "piece-counts")
     histogram = {r["length"]: r["n"] for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     shared = spark.sparkContext.broadcast(_slots(bin_completion.complete(histogram, capacity)))
-    numbered = pieces.join(before.select("task", "length", "before"), ["task", "length"]).select(
+    # There are as many counts as tasks and lengths, which grows with the input: no broadcast.
+    numbered = pieces.join(before.select("task", "length", "before").hint("merge"), ["task", "length"]).select(
         *[c for c in pieces.columns if c not in ("task", "number")], (F.col("number") + F.col("before")).alias("number"))
     out = T.StructType([f for f in numbered.schema.fields if f.name != "number"]
                        + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
