@@ -69,3 +69,14 @@ def test_packing_of_whole_documents(spark, tables):
             at += length
         assert at <= 4096
     assert QUERIES["op3_best_fit_packing"](spark, f"{root}/none").count() == 0
+
+
+def test_jaccard_classes_of_whole_texts(spark, tables):
+    root, rows = tables
+    got = QUERIES["op6_ngram_jaccard_join"](spark, f"{root}/full").collect()
+    words = [(i, (t or "").lower().split()) for i, t, *_ in rows]
+    sizes = [(i, len({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}) if w else 0) for i, w in words]
+    order = lambda x: (x[0] is not None, x)
+    assert sorted(((r["doc_id"], r["n_shingles"]) for r in got), key=order) == sorted(sizes, key=order)
+    assert all(r["component_id"] == r["doc_id"] for r in got if r["doc_id"] is not None)
+    assert QUERIES["op6_ngram_jaccard_join"](spark, f"{root}/none").count() == 0
