@@ -69,3 +69,18 @@ def test_scans_read_only_what_is_used(spark, name, columns):
 def test_refund_flag_filter_reaches_the_scan(spark):
     plan = QUERIES["src_7_table_scan"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,R)" in plan
+
+
+def test_semi_and_anti_joins_lines_to_orders_once(spark, rows, tmp_path):
+    day = "timestamp_ntz'{}'".format
+    spark.sql(f"""SELECT * FROM VALUES (1L, 7L, {day("1995-12-30")}), (2L, 7L, {day("1995-12-31")}), (3L, 7L, {day("1996-05-01")}), (4L, 7L, null)
+                  AS t(o_orderkey, o_custkey, o_orderdate)""").selectExpr(
+        "*", "'O' o_orderstatus", "1.0D o_totalprice", "'x' o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT * FROM VALUES (1L), (2L), (2L), (3L), (4L), (5L), (null) AS t(l_orderkey)").selectExpr(
+        "*", "1L l_partkey", "1L l_suppkey", "1 l_linenumber", "1.0D l_quantity", "1.0D l_extendedprice", "0.0D l_discount", "0.0D l_tax",
+        "'N' l_returnflag", "'O' l_linestatus", f"{day('1996-01-01')} l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["jn_3_semi_and_anti"](spark, str(tmp_path))
+    assert sorted((n or 0, has_day) for n, _, has_day in rows(found)) == [
+        (0, False), (1, False), (2, True), (2, True), (3, True), (4, False), (5, False)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan, "lines are read once, before the halves of the union"
