@@ -562,6 +562,30 @@ def test_line_recall_against_edit_similarity(spark):
     assert sum(sum(v) for v in shares.values()) >= 0.85 * len(kind)
 
 
+def edited(rng, text, n):
+    for _ in range(n):
+        at, kind = rng.randrange(len(text)), rng.random()
+        text = text[:at] + ("" if kind < 0.3 else rng.choice("ab é")) + text[at + (kind < 0.7):]
+    return text
+
+
+def test_lines_within_the_edit_similarity_are_all_found(spark):
+    """As many letters and blanks changed, taken out or put in as the similarity allows, anywhere."""
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvw", k=rng.randint(1, 9))) for _ in range(500)]
+    docs, close = [], set()
+    for n, _ in itertools.product((5, 8, 12, 20, 40, 90), range(25)):
+        line = " ".join(rng.choices(vocabulary, k=n))
+        other = edited(rng, line, max(1, len(line) // 10 - rng.randint(0, 1)))
+        norms = [" ".join(word_split(x)) for x in (line, other)]
+        docs += [(2 * len(docs), line + "\nend"), (2 * len(docs) + 1, other + "\nend")]
+        if levenshtein(*norms) <= int(max(map(len, norms)) * 0.1 + 1e-9) and len(word_split(other)) >= 5:
+            close.add(docs[-1][0])
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    removed = {r["i"] for r in line_dedup.dedup_documents(frame).where("n_removed > 0").select(F.col("row.doc_id").alias("i")).collect()}
+    assert removed == close and len(close) > 100
+
+
 def test_equal_ends_are_taken_off_long_lines(spark):
     rng = random.Random(2)
     base = "".join(rng.choices("abcé ", k=3000))
