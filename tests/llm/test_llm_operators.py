@@ -586,6 +586,30 @@ def test_lines_within_the_edit_similarity_are_all_found(spark):
     assert removed == close and len(close) > 100
 
 
+def test_pairs_to_compare_hold_all_within_the_edit_similarity_and_few_others(spark):
+    """Long lines with one phrase in common at the same place are not compared; pairs within the similarity are, at every length."""
+    rng = random.Random(5)
+    norms = []
+    for n, _ in itertools.product((10, 11, 19, 20, 45, 89, 90, 91, 150, 200, 305), range(4)):
+        line = "".join(rng.choices("abcdefgh ", k=n))
+        norms += [line, edited(rng, line, len(line) // 10), edited(rng, line, max(1, len(line) // 10 - 2))]
+    norms += ["ab" * 400, "ab" * 380 + "ba" * 20, "a" * 300, "a" * 290]
+    phrase = "a phrase that two lines share"
+    apart = [head + phrase + tail for head, tail in (("".join(rng.choices("abcdefgh ", k=150)), "".join(rng.choices("abcdefgh ", k=150))) for _ in range(2))]
+    norms += apart
+    rows = [(i, len(x), i, x) for i, x in enumerate(norms)]
+    lines = spark.createDataFrame(rows, "line long, length int, component long, norm string")
+    close = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(norms), 2)
+             if abs(len(a) - len(b)) <= 0.1 * max(len(a), len(b)) and levenshtein(a, b) <= int(max(len(a), len(b)) * 0.1 + 1e-9)}
+    pairs = line_dedup.untouched_pairs(lines, 0.9)
+    found = [tuple(r) for r in pairs.select("a", "b").collect()]
+    assert len(found) == len(set(found)) and close <= set(found) and len(close) > 40
+    assert (len(norms) - 2, len(norms) - 1) not in found
+    every = spark.createDataFrame(list(itertools.combinations(range(len(norms)), 2)), "a long, b long")
+    allowed = {tuple(r) for r in line_dedup.letters_allow(every, lines, 0.9).select("a", "b").collect()}
+    assert close <= allowed and len(allowed) < every.count() / 2
+
+
 def test_equal_ends_are_taken_off_long_lines(spark):
     rng = random.Random(2)
     base = "".join(rng.choices("abcé ", k=3000))
