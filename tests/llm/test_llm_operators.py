@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -17,6 +18,7 @@ from storeloom.llm import (bin_completion, decontaminate, jaccard_join, language
                            nn_descent, packing, secrets, warc)
 from storeloom.llm.vocabularies import tokenizer_path
 from storeloom.llm.words import alphanumeric_words, blank_words, split_words
+from storeloom.scratch import DROP_SHUFFLES, stage
 
 SCHEMA = "doc_id long, text string, lang string, row string, place long, class string, text_hash long"
 WORDS = [a + b for a in ("ba", "ce", "di", "fo", "gu", "ha", "ke", "lo") for b in ("ra", "so", "ti", "mun", "x")]
@@ -610,6 +612,52 @@ def test_pairs_to_compare_hold_all_within_the_edit_similarity_and_few_others(spa
     assert close <= allowed and len(allowed) < every.count() / 2
 
 
+def test_ranges_of_lengths_take_turns_and_lose_no_pair(spark, monkeypatch):
+    """Pairs within the similarity are found when their lengths are in different ranges too, each pair once."""
+    monkeypatch.setattr(line_dedup, "ROUNDS", 100)
+    monkeypatch.setattr(line_dedup, "ROUND_CHARACTERS", 500)
+    rng = random.Random(8)
+    norms = []
+    for n in range(10, 320, 4):
+        line = "".join(rng.choices("abcdefgh ", k=n))
+        norms += [line, edited(rng, line, n // 10), line[:n - n // 10], "x" * (n // 10) + line]
+    rows = [(i, len(x), i, x) for i, x in enumerate(norms)]
+    lines = spark.createDataFrame(rows, "line long, length int, component long, norm string")
+    ranges = line_dedup.length_ranges(lines)
+    assert len(ranges) > 10 and ranges[0][0] <= min(map(len, norms)) and ranges[-1][1] > max(map(len, norms))
+    assert all(a[1] == b[0] for a, b in itertools.pairwise(ranges))
+    close = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(norms), 2)
+             if abs(len(a) - len(b)) <= 0.1 * max(len(a), len(b)) and levenshtein(a, b) <= int(max(len(a), len(b)) * 0.1 + 1e-9)}
+    found = [tuple(r) for r in line_dedup.untouched_pairs(lines, 0.9).select("a", "b").collect()]
+    assert len(found) == len(set(found)) and close <= set(found) and len(close) > 150
+    assert line_dedup.untouched_pairs(lines.limit(0), 0.9).count() == 0
+
+
+def test_pieces_are_looked_for_only_where_the_edits_before_them_can_move_them(spark):
+    rng = random.Random(9)
+    one, two = ("".join(rng.choices(letters, k=89)) for letters in ("abcdefgh", "stuvwxyz"))
+    moved = two[:5] + one[:9] + two[14:]  # the first piece of nine, five places off, can only stand there after an edit
+    far, near = (two[:at] + one[39:48] + two[at + 9:] for at in (44, 43))  # the fifth may be moved by four
+    rows = [(i, len(x), i, x) for i, x in enumerate((one, moved, far, near))]
+    lines = spark.createDataFrame(rows, "line long, length int, component long, norm string")
+    found = {tuple(r) for r in line_dedup.untouched_pairs(lines, 0.9).select("a", "b").collect()}
+    assert {p for p in found if p[0] == 0} == {(0, 3)}
+
+
+def test_staging_takes_the_shuffle_files_with_it(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before = shuffled()
+    staged = stage(spark.range(1000).repartition(5, "id"), "kept")
+    deadline = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert staged.count() == 1000 and spark.conf.get(DROP_SHUFFLES) == "false"
+
+
 def test_equal_ends_are_taken_off_long_lines(spark):
     rng = random.Random(2)
     base = "".join(rng.choices("abcé ", k=3000))
