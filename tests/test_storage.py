@@ -13,6 +13,7 @@ from storeloom.plans import refresh
 from storeloom.sinks import tables, warehouse
 from storeloom.sources import files
 from storeloom.sources.tables import read_table
+from workload import storage
 
 RUN = datetime(2024, 1, 31, 6, 0)
 
@@ -280,3 +281,35 @@ def test_purge_needs_a_fresh_path(spark, tmp_path):
         tables.purge_table(spark, old, old + "/", "d", date(2020, 3, 2), 10)
     assert tables.purge_table(spark, old, new, "d", date(2020, 3, 2), 10) == 2
     assert {r["n"] for r in read_table(spark, new).collect()} == {2, 3}
+
+
+def star_tables(spark, d, orders=40):
+    """A small star whose orders have three lines each."""
+    count = {"region": 1, "nation": 1, "lineitem": 3 * orders}
+    columns = {
+        "region": ["int(n) r_regionkey", "'R' r_name"], "nation": ["int(n) n_nationkey", "'N' n_name", "0 n_regionkey"],
+        "customer": ["n c_custkey", "'Customer#' || lpad(n, 9, '0') c_name", "0 c_nationkey", "0D c_acctbal", "'M' c_mktsegment"],
+        "part": ["n p_partkey", "'P' p_name", "'Brand#1' p_brand", "'T' p_type", "1 p_size", "1D p_retailprice"],
+        "orders": ["n o_orderkey", "n o_custkey", "'O' o_orderstatus", "1D o_totalprice",
+                   "timestamp_ntz'1996-01-01 00:00:00' + make_dt_interval(int(n % 5)) o_orderdate", "'1' o_orderpriority"],
+        "lineitem": ["n div 3 l_orderkey", "n % 7 l_partkey", "n l_suppkey", "int(n % 3) l_linenumber", "2D l_quantity", "100D * (n + 1) l_extendedprice",
+                     "0D l_discount", "0D l_tax", "if(n % 4 = 0, 'R', 'N') l_returnflag", "'F' l_linestatus", "timestamp_ntz'1996-01-01 00:00:00' l_shipdate"],
+    }
+    for name, made in columns.items():
+        spark.range(count.get(name, orders)).withColumnRenamed("id", "n").selectExpr(*made).write.parquet(f"{d}/{name}.parquet")
+    return str(d)
+
+
+def test_rejected_lines_land_once_and_compressed(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(storage, "scratch_dir", lambda spark, label: made.append(tmp_path / f"{label}-{len(made)}") or str(made[-1]))
+    got = {r["PRODUCTCODE"]: tuple(r)[1:] for r in storage.rejected_lines(spark, star_tables(spark, tmp_path / "star")).collect()}
+    want = {}
+    for n in range(120):
+        rejected, good, amount = want.get(f"S01_{n % 7:06d}", (0, 0, 0.0))
+        bad = n // 3 % 10 == 3
+        want[f"S01_{n % 7:06d}"] = (rejected + bad, good + (not bad), amount + (not bad) * 100.0 * (n + 1) * (-1 if n % 4 == 0 else 1))
+    assert got == want
+    landed = [p.name for folder in made for p in folder.glob("part-*.csv*")]
+    assert landed and all(name.endswith(".csv.gz") for name in landed)
+    assert len([folder for folder in made if list(folder.glob("part-*.csv*"))]) == 1

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom import schemas
 from storeloom.plans import customers, products, sales, star
-from storeloom.scratch import scratch_dir
+from storeloom.scratch import scratch_dir, shuffles_dropped
 from storeloom.sinks import catalog, tables, warehouse
 from storeloom.sources import files
 from storeloom.sources import retail_views as views
@@ -39,13 +39,15 @@ def land_customers(spark: SparkSession, d: str, repeated: bool = False) -> str:
     return root
 
 
-def land_transactions(spark: SparkSession, d: str, files: int | None = None) -> str:
-    """Write the transactions view as CSV in the declared layout, as so many files where a number is given."""
+def land_transactions(spark: SparkSession, d: str, files: int | None = None, compression: str | None = None, **values: Column) -> str:
+    """Write the transactions view as CSV in the declared layout, as so many files where a number is given; ``values`` replace
+    columns."""
     root = scratch_dir(spark, "landing-transactions")
     rows = views.transactions(spark, d)
     absent = {f.name: F.lit(None).cast(f.dataType) for f in schemas.TRANSACTIONS if f.name not in rows.columns}
-    lines = rows.withColumns(absent).select(*schemas.TRANSACTIONS.names)
-    (lines if files is None else lines.repartition(files, "ORDERNUMBER")).write.option("header", True).csv(root)
+    lines = rows.withColumns({**absent, **values}).select(*schemas.TRANSACTIONS.names)
+    with shuffles_dropped(spark):
+        (lines if files is None else lines.repartition(files, "ORDERNUMBER")).write.option("header", True).csv(root, compression=compression)
     return root
 
 
@@ -169,11 +171,10 @@ def raw_transactions(spark, d):
     FROM transactions GROUP BY ALL""")
 def rejected_lines(spark, d):
     """Every line lands; the amounts of some orders are written as text that is no number."""
-    landing, raw = scratch_dir(spark, "landing-bad"), scratch_dir(spark, "raw-bad")
-    lines = spark.read.schema(files.text_schema(schemas.TRANSACTIONS.names)).option("header", True).csv(land_transactions(spark, d))
-    bad = F.col("ORDERNUMBER").cast("long") % 10 == 3
-    (lines.withColumn("TOTAL_AMOUNT", F.when(bad, "ten").otherwise(F.col("TOTAL_AMOUNT")))
-     .write.option("header", True).csv(landing))
+    raw = scratch_dir(spark, "raw-bad")
+    amount = F.when(F.col("ORDERNUMBER") % 10 == 3, "ten").otherwise(F.col("TOTAL_AMOUNT").cast("string"))
+    # Compressed, as landing files take far more room than the tables that they are made from.
+    landing = land_transactions(spark, d, compression="gzip", TOTAL_AMOUNT=amount)
     tables.write_table(files.raw_transactions(spark, landing, RUN_TIME), raw)
     stored = read_table(spark, raw)
     code = F.split("line", ",")[schemas.TRANSACTIONS.names.index("PRODUCTCODE")]
