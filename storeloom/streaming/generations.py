@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storeloom.scratch import shuffles_dropped
+
 COMMIT = T.StructType([T.StructField("generation", T.StringType()), T.StructField("upto", T.LongType())])
 
 
@@ -77,8 +79,9 @@ def commits(spark: SparkSession, store: Store) -> list[tuple[int, str]]:
 
 def write_batch(store: Store, rows: DataFrame, batch_id: int) -> None:
     """Store the partial aggregate of a batch; a retried batch replaces its own."""
-    store.merge(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in store.schema])).write.mode("overwrite").parquet(
-        store._folder("batch", f"batch_id={batch_id}"))
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in store.schema])
+    with shuffles_dropped(rows.sparkSession):
+        store.merge(typed).write.mode("overwrite").parquet(store._folder("batch", f"batch_id={batch_id}"))
 
 
 def _open_parts(spark: SparkSession, store: Store) -> tuple[int, list[str], list[int]]:
@@ -106,7 +109,8 @@ def merge_batches(spark: SparkSession, store: Store) -> int:
     if not waiting:
         return 0
     name = f"upto-{waiting[-1]}-{uuid.uuid4().hex}"
-    read(spark, store).write.parquet(store._folder("generation", name))
+    with shuffles_dropped(spark):
+        read(spark, store).write.parquet(store._folder("generation", name))
     marker = spark.createDataFrame([(name, waiting[-1])], COMMIT).coalesce(1)
     marker.write.mode("overwrite").parquet(store._folder("commit", f"upto={waiting[-1]}"))
     clean(spark, store)

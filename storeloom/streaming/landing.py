@@ -96,7 +96,8 @@ def run_daily_partials(fact: DataFrame, path: str, checkpoint: str, merge_every:
     held = [(kind, column) for kind, column in MEMBERS.items() if column in fact.columns]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        used = [*DAILY_KEYS, "net_amount", "restocking_fee", "order_number", *[column for _, column in held]]
+        batch = batch.select(*[c for c in used if c in batch.columns]).persist()
         write_batch(sums, batch.groupBy(*DAILY_KEYS).agg(
             F.sum("net_amount").alias("net_amount"), F.sum("restocking_fee").alias("restocking_fee"), F.count(F.lit(1)).alias("lines"),
             (F.count("order_number") if "order_number" in batch.columns else F.count(F.lit(1))).alias("orders"),

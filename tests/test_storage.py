@@ -2,6 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
@@ -313,3 +314,12 @@ def test_rejected_lines_land_once_and_compressed(spark, tmp_path, monkeypatch):
     landed = [p.name for folder in made for p in folder.glob("part-*.csv*")]
     assert landed and all(name.endswith(".csv.gz") for name in landed)
     assert len([folder for folder in made if list(folder.glob("part-*.csv*"))]) == 1
+
+
+def test_landing_in_so_many_files_shuffles_no_whole_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(DataFrame, "repartition", lambda *_: pytest.fail("whole lines are shuffled"))
+    d = star_tables(spark, tmp_path / "star")
+    landed = storage.land_transactions(spark, d, files=9, compression="gzip")
+    assert len(list((tmp_path / "landing-transactions").glob("part-*.csv.gz"))) >= 9
+    assert files.read_csv(spark, landed, schemas.TRANSACTIONS).count() == 120

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 from decimal import Decimal
 
@@ -57,6 +58,30 @@ def test_retried_batch_replaces_itself(spark, tmp_path):
     assert totals(spark, out) == {("2020-01-02", "SALE"): (6.0, 2)}
 
 
+def test_a_batch_leaves_no_shuffle_files_and_holds_what_it_uses(spark, tmp_path, monkeypatch):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    kept, held, persist = {}, [], type(spark.range(1)).persist
+    monkeypatch.setattr(landing, "run_batches", lambda stream, handle, checkpoint: kept.update(handle=handle))
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *level: held.append(df.columns) or persist(df, *level))
+    lines = spark.range(100).selectExpr(
+        "id as ORDERNUMBER", "1 as QUANTITYORDERED", "id - 50D as TOTAL_AMOUNT", "'1/2/2020 0:00' as ORDERDATE", "concat('S1_', id) as PRODUCTCODE",
+        "'+1' as PHONE", "'1 St' as ADDRESSLINE1", "'NA' as TERRITORY", "'Lee' as CONTACTLASTNAME", "'Ann' as CONTACTFIRSTNAME", "'Small' as DEALSIZE")
+    out = str(tmp_path / "partials")
+    landing.run_daily_partials(star.fact_transactions(lines, run_time=datetime(2024, 1, 1)), out, "unused", merge_every=2)
+    before = shuffled()
+    for batch in range(2):
+        kept["handle"](star.fact_transactions(lines.repartition(3), run_time=datetime(2024, 1, 1)), batch)
+    deadline = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert [sorted(c) for c in held] == [sorted([*landing.DAILY_KEYS, "net_amount", "restocking_fee", "order_number", "customer_name", "product_code"])] * 2
+    assert totals(spark, out) == {("2020-01-02", "REFUND"): (0.9 * 1275 * 2, 100), ("2020-01-02", "SALE"): (1225.0 * 2, 100)}
+
+
 SUMS = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("m", T.DecimalType(38, 2))])
 
 

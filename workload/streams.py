@@ -39,8 +39,10 @@ def stream_daily_totals(spark, d):
 @query("doc_10_stream_daily_insights", ORACLES["anl_13_daily_insights"], views=False)
 def stream_daily_insights(spark, d):
     """The daily insights kept up to date by a stream of many small batches, merged every few of them."""
-    landed = land_transactions(spark, d, files=9)
-    arrived = landing.landing_stream(spark, landed, schemas.TRANSACTIONS, files_per_batch=2)
+    landed = land_transactions(spark, d, files=9, compression="gzip")
+    # Two of nine files a batch; more files only make the batches larger.
+    n_files = files.input_files(spark, landed, "*.csv.gz").count()
+    arrived = landing.landing_stream(spark, landed, schemas.TRANSACTIONS, files_per_batch=max(2, 2 * n_files // 9))
     partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "checkpoint")
     landing.run_daily_partials(star.fact_transactions(arrived, run_time=RUN_TIME), partials, checkpoint, merge_every=2)
     return doubles(landing.daily_insights(spark, partials))
