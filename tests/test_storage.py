@@ -2,7 +2,6 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
@@ -318,7 +317,7 @@ def test_rejected_lines_land_once_and_compressed(spark, tmp_path, monkeypatch):
 
 def test_landing_in_so_many_files_shuffles_no_whole_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "scratch_dir", lambda spark, label: str(tmp_path / label))
-    monkeypatch.setattr(DataFrame, "repartition", lambda *_: pytest.fail("whole lines are shuffled"))
+    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda *_: pytest.fail("whole lines are shuffled"))
     d = star_tables(spark, tmp_path / "star")
     landed = storage.land_transactions(spark, d, files=9, compression="gzip")
     assert len(list((tmp_path / "landing-transactions").glob("part-*.csv.gz"))) >= 9
