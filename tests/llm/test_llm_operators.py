@@ -18,7 +18,7 @@ from storeloom.llm import (bin_completion, decontaminate, jaccard_join, language
                            nn_descent, packing, secrets, warc)
 from storeloom.llm.vocabularies import tokenizer_path
 from storeloom.llm.words import alphanumeric_words, blank_words, split_words
-from storeloom.scratch import DROP_SHUFFLES, stage
+from storeloom.scratch import DROP_SHUFFLES, stage, unstage
 
 SCHEMA = "doc_id long, text string, lang string, row string, place long, class string, text_hash long"
 WORDS = [a + b for a in ("ba", "ce", "di", "fo", "gu", "ha", "ke", "lo") for b in ("ra", "so", "ti", "mun", "x")]
@@ -416,6 +416,27 @@ def test_jaccard_join(spark, monkeypatch, long_list):
     assert {r["id"]: (r["n_shingles"], r["component"]) for r in found} == brute_components(texts)
 
 
+def test_jaccard_pairs_take_turns_and_leave_no_texts(spark, monkeypatch):
+    labels, stage_as = [], jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "PART_SHINGLES", 1)
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", 20)
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, label: labels.append((label, stage_as(df, label))) or labels[-1][1])
+    texts = near_sets(random.Random(8))
+    found = jaccard_join.near_duplicates(table(spark, texts)).collect()
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in found} == brute_components(texts)
+    of_texts = [staged for label, staged in labels if label == "class-texts"]
+    assert len(of_texts) > jaccard_join.PARTS
+    paths = [spark._jvm.java.io.File(spark._jvm.java.net.URI(file)) for staged in of_texts for file in staged.inputFiles()]
+    assert paths and not any(path.exists() for path in paths)
+
+
+def test_only_staged_tables_are_deleted(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError):
+        unstage(spark.read.parquet(str(tmp_path / "own")))
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 3
+
+
 def test_jaccard_keeps_one_of_each_group(spark):
     texts = [(4, "a b c d e f"), (2, "A b c d e f"), (2, "A b c d e f"), (9, None), (8, ""), (7, "x y z")]
     kept = jaccard_join.keep_first(table(spark, texts))
